@@ -4,6 +4,8 @@ from fareflow.checks import (  # noqa: F401  (imported to register their queries
     analytics,
     sessions,
     sources,
+    streams,
+    tables,
 )
 from fareflow.checks.registry import ORACLE, QUERIES
 

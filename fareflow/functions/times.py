@@ -31,9 +31,9 @@ def elapsed_sec(end: Column, start: Column) -> Column:
     return F.when(gap.isNotNull(), F.greatest(gap, F.lit(0.0)))
 
 
-def seconds(n: int | float) -> Column:
-    """An interval literal of n seconds."""
-    return F.make_dt_interval(secs=F.lit(n))
+def seconds(n: int) -> Column:
+    """An interval literal of n seconds; a literal lets stream joins bound their state."""
+    return F.expr(f"INTERVAL '{n}' SECOND")
 
 
 def slice_of(ts: Column, width_sec: int) -> Column:
