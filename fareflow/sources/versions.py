@@ -144,8 +144,13 @@ class VersionedTable:
         counted = self._files(self.schema, batch).groupBy(*self.place)
         return counted.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("op", F.lit("add"))
 
-    def _commit(self, entries: DataFrame, schema: T.StructType) -> int:
-        """Make the entries the next snapshot. One row per touched partition, one file, one rename."""
+    def _commit(self, entries: DataFrame, schema: T.StructType) -> int | None:
+        """Make the entries the next snapshot; none without entries.
+
+        One row per touched partition, one file, so that the commit is one rename.
+        """
+        if entries.isEmpty():
+            return None
         snapshot = self.state()[0] + 1
         rows = entries.withColumn("table_schema", F.lit(schema.json()))
         rows.coalesce(1).write.mode("errorifexists").parquet(f"{self.ledger}/snapshot={snapshot}")
