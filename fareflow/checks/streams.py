@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 from fareflow.checks.analytics import (
     EXTRA,
+    FACT,
+    FACT_USES,
+    INGESTED,
     METRICS,
     PAID_SQL,
+    PING_ORDER,
     RIDE_USES,
     SESSION_SQL,
     SHIFTS,
@@ -19,6 +23,8 @@ from fareflow.checks.registry import query
 from fareflow.checks.sessions import SESSION_COLUMNS, rounded
 from fareflow.checks.sources import EVENT_COLUMNS
 from fareflow.operators import poison, upsert
+from fareflow.plans import marts
+from fareflow.plans.build import MartStore
 from fareflow.session import work_dir
 from fareflow.sources.derived import (
     DriverTables,
@@ -266,3 +272,20 @@ def keyed_table_merge(t: DriverTables) -> DataFrame:
         lambda old, new: upsert.upsert_last(old, new, ["o_custkey"], order),
     )
     return table.read().drop("o_orderdate")
+
+
+# --- a whole run of the marts --------------------------------------------------------------------
+
+
+@query("mart_build", "SELECT * FROM hourly", FACT_USES, FACT)
+def mart_build(t: DriverTables) -> DataFrame:
+    """Two runs, the second with newer rides: the rollup equals one made from everything at once."""
+    at = F.lit(INGESTED).cast("timestamp")
+    folder = work_dir(t.spark, "marts")
+    marts.with_ingest_time(t.sessions, at).write.parquet(f"{folder}/landed")
+    sessions = t.spark.read.parquet(f"{folder}/landed")
+    store = MartStore(t.spark, folder)
+    early = sessions.where(F.col("requested_ts") < F.lit("2024-01-20").cast("timestamp"))
+    store.run("1", at, early, t.payments, t.pings, t.cities, PING_ORDER)
+    built = store.run("2", at, sessions, t.payments, t.pings, t.cities, PING_ORDER)
+    return rounded(built.agg_city_hourly, "p50_time_to_match_sec", "p95_time_to_match_sec")

@@ -17,10 +17,8 @@ from fareflow.schemas import (
 
 def event_ordinal(event_type: Column) -> Column:
     """Lifecycle ordinal of an event type; null for a type outside the lifecycle."""
-    chain = F.lit(None).cast("int")
-    for name, ordinal in EVENT_ORDINALS.items():
-        chain = F.when(event_type == name, F.lit(ordinal)).otherwise(chain)
-    return chain
+    known = F.array(*map(F.lit, EVENT_ORDINALS))
+    return F.nullif(F.array_position(known, event_type), F.lit(0)).cast("int")
 
 
 def driver_tier(completed_rides: Column) -> Column:

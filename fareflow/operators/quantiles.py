@@ -37,24 +37,23 @@ def exact_quantiles(
     """One row per key group with the named quantiles of the non-null values.
 
     ``linear`` interpolates between neighbours (percentile_cont); ``index`` takes the sorted
-    value at ``int(q * n) - 1``. Equal values are counted first, the counts are summed into
-    bins ``bin_width`` wide, and only the bins that hold a wanted rank are sorted. A task
-    therefore sorts one bin of one group, never a whole group; choose the width so that
-    the bins of a group number thousands at most.
+    value at ``int(q * n) - 1``. A first pass counts values per bin of ``bin_width``, which
+    shuffles one row per group and bin. Only the values of the bins that hold a wanted rank
+    are then brought together, equal ones counted before the shuffle, and sorted per bin. A task
+    never sorts a whole group; choose the width so that a group has thousands of bins at most.
     """
     grouped = [F.col(k) for k in keys] if keys else [F.lit(0).alias("_all")]
     names = list(keys) if keys else ["_all"]
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*grouped, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bin", F.floor(F.col("_v") / F.lit(float(bin_width))).cast("long"))
+    values = df.where(F.col(value).isNotNull()).select(
+        *grouped,
+        F.col(value).cast("double").alias("_v"),
+        F.floor(F.col(value).cast("double") / F.lit(float(bin_width))).cast("long").alias("_bin"),
     )
     per_key = Window.partitionBy(*names)
     upto = per_key.orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     bins = (
-        counts.groupBy(*names, "_bin")
-        .agg(F.sum("_n").alias("_in_bin"))
+        values.groupBy(*names, "_bin")
+        .agg(F.count(F.lit(1)).alias("_in_bin"))
         .withColumn("_end", F.sum("_in_bin").over(upto))
         .withColumn("_start", F.col("_end") - F.col("_in_bin"))
         .withColumn("_total", F.sum("_in_bin").over(per_key))
@@ -69,15 +68,20 @@ def exact_quantiles(
         [inside(r, "_start", "_end") for lo, hi, _ in ranks.values() for r in (lo, hi)],
     )
     kept = bins.where(wanted).select(*names, "_bin", "_start", "_total")
+    if not keys:
+        # One group has at most two bins per quantile.
+        kept = F.broadcast(kept)
+    near = null_safe_join(values, kept, [*names, "_bin"], "inner")
+    counts = near.groupBy(*names, "_bin", "_start", "_total", "_v").agg(
+        F.count(F.lit(1)).alias("_n")
+    )
     in_bin = (
         Window.partitionBy(*names, "_bin")
         .orderBy("_v")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ranked = (
-        null_safe_join(counts, kept, [*names, "_bin"], "inner")
-        .withColumn("_upto", F.col("_start") + F.sum("_n").over(in_bin))
-        .withColumn("_from", F.col("_upto") - F.col("_n"))
+    ranked = counts.withColumn("_upto", F.col("_start") + F.sum("_n").over(in_bin)).withColumn(
+        "_from", F.col("_upto") - F.col("_n")
     )
     picks = []
     for name, (lo, hi, _) in ranks.items():

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareflow.functions.geo import haversine_km
-from fareflow.functions.rides import default_surge, event_ordinal, late_arrival
+from fareflow.functions.rides import default_surge, late_arrival
 from fareflow.functions.times import elapsed_sec, seconds
 from fareflow.schemas import EVENT_ORDINALS, RIDE_SESSION, SESSION_TIMEOUT_SEC, TERMINAL_TYPES
 
@@ -22,21 +22,22 @@ def fold_slots(events: DataFrame, arrival: str = "kafka_offset") -> DataFrame:
     The last arrival of an ordinal fills its slot; the terminal type is the one that
     arrived first. One aggregation on ``ride_id``: copies collapse on the map side.
     """
-    kind = F.col("event_type")
-    slot = F.struct(*SLOT_FIELDS)
+    slot = f"struct({', '.join(SLOT_FIELDS)})"
     slots = [
-        F.max_by(F.when(kind == name, slot), F.when(kind == name, F.col(arrival))).alias(f"s{n}")
+        F.expr(f"max_by({slot}, {arrival}) FILTER (WHERE event_type = '{name}')").alias(f"s{n}")
         for name, n in EVENT_ORDINALS.items()
     ]
     first_seen = [
-        F.min(F.when(kind == name, F.col(arrival))).alias(f"first_{name}") for name in TERMINAL_TYPES
+        F.expr(f"min({arrival}) FILTER (WHERE event_type = '{name}')").alias(f"first_{name}")
+        for name in TERMINAL_TYPES
     ]
-    known = events.where(event_ordinal(kind).isNotNull())
+    known = events.where(F.col("event_type").isin(*EVENT_ORDINALS))
     return known.groupBy("ride_id").agg(*slots, *first_seen)
 
 
-def _first_known(field: str) -> Column:
-    return F.coalesce(*[F.col(f"s{n}.{field}") for n in sorted(EVENT_ORDINALS.values())])
+def _first_known(field: str) -> str:
+    """SQL for the field's first known value in ordinal order."""
+    return f"coalesce({', '.join(f's{n}.{field}' for n in sorted(EVENT_ORDINALS.values()))})"
 
 
 def derive_session(slots: DataFrame) -> DataFrame:
@@ -44,35 +45,25 @@ def derive_session(slots: DataFrame) -> DataFrame:
 
     Keeps ``last_event_ts`` so that callers can decide on a timeout.
     """
-    ts = {name: F.col(f"s{n}.event_ts") for name, n in EVENT_ORDINALS.items()}
-    completed, cancelled = (F.col(f"first_{name}") for name in TERMINAL_TYPES)
-    rows = slots.select(
+    ts = {name: f"s{n}.event_ts" for name, n in EVENT_ORDINALS.items()}
+    known = ("rider_id", "driver_id", "city_id", "promo_code", "surge_multiplier", "pickup_lat",
+             "pickup_lon", "dropoff_lat", "dropoff_lon")
+    filled = " + ".join(f"int(s{n} IS NOT NULL)" for n in EVENT_ORDINALS.values())
+    rows = slots.selectExpr(
         "ride_id",
-        _first_known("rider_id").alias("rider_id"),
-        _first_known("driver_id").alias("driver_id"),
-        _first_known("city_id").alias("city_id"),
-        F.when(completed < F.coalesce(cancelled, completed + 1), "completed")
-        .when(cancelled.isNotNull(), "cancelled")
-        .alias("terminal_state"),
-        sum(F.col(f"s{n}").isNotNull().cast("int") for n in EVENT_ORDINALS.values()).alias("event_seq"),
-        F.greatest(*ts.values()).alias("last_event_ts"),
-        ts["requested"].alias("requested_known"),
-        ts["matched"].alias("matched_ts"),
-        ts["driver_arrived"].alias("driver_arrived_ts"),
-        ts["started"].alias("started_ts"),
-        ts["completed"].alias("completed_ts"),
-        ts["cancelled"].alias("cancelled_ts"),
-        F.col(f"s{EVENT_ORDINALS['completed']}.fare_cents").alias("fare_cents"),
-        default_surge(_first_known("surge_multiplier")).alias("surge_multiplier"),
-        _first_known("promo_code").alias("promo_code"),
-        *[
-            _first_known(name).alias(name)
-            for name in ("pickup_lat", "pickup_lon", "dropoff_lat", "dropoff_lon")
-        ],
+        *[f"{_first_known(c)} AS {c}" for c in known],
+        "CASE WHEN first_completed < coalesce(first_cancelled, first_completed + 1) THEN 'completed'"
+        " WHEN first_cancelled IS NOT NULL THEN 'cancelled' END AS terminal_state",
+        f"{filled} AS event_seq",
+        f"greatest({', '.join(ts.values())}) AS last_event_ts",
+        f"{ts['requested']} AS requested_known",
+        *[f"{ts[name]} AS {name}_ts" for name in ("matched", "driver_arrived", "started", *TERMINAL_TYPES)],
+        f"s{EVENT_ORDINALS['completed']}.fare_cents AS fare_cents",
     )
     is_completed = F.col("terminal_state") == "completed"
     rows = rows.withColumns(
         {
+            "surge_multiplier": default_surge(F.col("surge_multiplier")),
             "requested_ts": F.coalesce("requested_known", "last_event_ts"),
             "ended_ts": F.when(is_completed, F.col("completed_ts")).when(
                 F.col("terminal_state") == "cancelled", F.col("cancelled_ts")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareflow.operators.sessions import build_sessions
-from fareflow.schemas import CITIES, RIDE_EVENT
+from fareflow.schemas import CITIES, EVENT_ORDINALS, RIDE_EVENT
 from fareflow.session import apply_settings
 
 EVENT_TYPE_SQL = """CASE event_type WHEN 'signup' THEN 'requested' WHEN 'view' THEN 'matched'
@@ -86,89 +86,65 @@ def numbered_events(events: DataFrame) -> DataFrame:
     )
 
 
+RIDE_ID_SQL = "concat(user_id, '-', CAST(floor(unix_seconds(ts) / 259200) AS BIGINT))"
+CENTER_LAT = " ".join(f"WHEN {i} THEN {c[2]}D" for i, c in enumerate(CITIES))
+CENTER_LON = " ".join(f"WHEN {i} THEN {c[3]}D" for i, c in enumerate(CITIES))
+
+
 def to_ride_events(events: DataFrame) -> DataFrame:
-    city = F.expr("CAST(user_id % 5 AS INT)")
-    lat = F.lit(None).cast("double")
-    lon = F.lit(None).cast("double")
-    for i, (_, _, c_lat, c_lon, _) in enumerate(CITIES):
-        lat = F.when(city == i, F.lit(c_lat)).otherwise(lat)
-        lon = F.when(city == i, F.lit(c_lon)).otherwise(lon)
-    typed = events.withColumn("event_type", F.expr(EVENT_TYPE_SQL))
-    known_dropoff = F.col("k") % 3 != 0
-    v2 = F.col("event_id") % 3 == 0
-    return typed.select(
-        F.concat(
-            F.col("user_id"), F.lit("-"), F.floor(F.unix_seconds("ts") / 259200).cast("long")
-        ).alias("ride_id"),
+    """One ride event per event; a ride is what a user does in three days."""
+    lat, lon = (f"(CASE user_id % 5 {c} END)" for c in (CENTER_LAT, CENTER_LON))
+    ordinals = ", ".join(f"'{name}'" for name in EVENT_ORDINALS)
+    typed = events.withColumn("event_type", F.expr(EVENT_TYPE_SQL)).withColumn("ride_id", F.expr(RIDE_ID_SQL))
+    return typed.selectExpr(
+        f"concat(ride_id, '.', array_position(array({ordinals}), event_type)) AS event_id",
+        "ride_id",
         "event_type",
-        F.col("ts").alias("event_ts"),
-        F.concat(F.lit("u-"), F.col("user_id")).alias("rider_id"),
-        F.when(
-            (F.col("event_type") != "requested") & (F.col("k") % 4 != 0),
-            F.expr("concat('d-', (user_id + k % 2) % 10)"),
-        ).alias("driver_id"),
-        (city + 1).alias("city_id"),
-        (lat + F.expr("(event_id % 11 - 5) / 100.0D")).alias("pickup_lat"),
-        (lon + F.expr("(event_id % 11 - 5) / 100.0D")).alias("pickup_lon"),
-        F.when(known_dropoff, lat + F.expr("(event_id % 7 - 3) / 50.0D")).alias("dropoff_lat"),
-        F.when(known_dropoff, lon + F.expr("(event_id % 7 - 3) / 50.0D")).alias("dropoff_lon"),
-        F.when(
-            F.col("event_type") == "completed", F.round(F.col("value") * 100).cast("long")
-        ).alias("fare_cents"),
-        F.expr("CASE WHEN k = 50 THEN 0.0D ELSE 1 + (k % 9) / 4.0D END").alias("surge_multiplier"),
-        F.when(v2, 2).otherwise(1).alias("payload_version"),
-        F.when(v2 & (F.col("k") % 5 == 0), F.expr("concat('SAVE', (k % 4 + 1) * 5)")).alias(
-            "promo_code"
-        ),
-        "kafka_partition",
-        "kafka_offset",
-        F.col("event_id").alias("source_id"),
-        "k",
-    ).select(
-        F.concat_ws(
-            ".", "ride_id", F.expr("array_position(array('requested','matched','driver_arrived',"
-            "'started','completed','cancelled'), event_type)")
-        ).alias("event_id"),
-        *[c for c in RIDE_EVENT.names if c != "event_id"],
+        "ts AS event_ts",
+        "concat('u-', user_id) AS rider_id",
+        "CASE WHEN event_type <> 'requested' AND k % 4 <> 0 THEN concat('d-', (user_id + k % 2) % 10) END AS driver_id",
+        "CAST(user_id % 5 + 1 AS INT) AS city_id",
+        f"{lat} + (event_id % 11 - 5) / 100.0D AS pickup_lat",
+        f"{lon} + (event_id % 11 - 5) / 100.0D AS pickup_lon",
+        f"CASE WHEN k % 3 <> 0 THEN {lat} + (event_id % 7 - 3) / 50.0D END AS dropoff_lat",
+        f"CASE WHEN k % 3 <> 0 THEN {lon} + (event_id % 7 - 3) / 50.0D END AS dropoff_lon",
+        "CASE WHEN event_type = 'completed' THEN CAST(round(value * 100) AS BIGINT) END AS fare_cents",
+        "CASE WHEN k = 50 THEN 0.0D ELSE 1 + (k % 9) / 4.0D END AS surge_multiplier",
+        "CASE WHEN event_id % 3 = 0 THEN 2 ELSE 1 END AS payload_version",
+        "CASE WHEN event_id % 3 = 0 AND k % 5 = 0 THEN concat('SAVE', (k % 4 + 1) * 5) END AS promo_code",
         "kafka_partition",
         "kafka_offset",
-        "source_id",
+        "event_id AS source_id",
         "k",
     )
 
 
 def to_payments(events: DataFrame) -> DataFrame:
     """A payment per purchase, 0 to 20 minutes after it; one purchase in ten is never paid."""
-    return events.where((F.col("event_type") == "purchase") & (F.col("k") % 10 != 0)).select(
-        F.concat(F.lit("txn-"), F.col("event_id")).alias("txn_id"),
-        F.concat(
-            F.col("user_id"), F.lit("-"), F.floor(F.unix_seconds("ts") / 259200).cast("long")
-        ).alias("ride_id"),
-        (F.round(F.col("value") * 100) + F.expr("CASE WHEN k % 17 = 0 THEN 1 ELSE 0 END"))
-        .cast("long")
-        .alias("amount_cents"),
-        F.expr("element_at(array('completed', 'failed', 'refunded'), CAST(k % 3 + 1 AS INT))").alias("status"),
-        F.expr("element_at(array('card', 'cash', 'wallet'), CAST(k % 7 % 3 + 1 AS INT))").alias("method"),
-        F.expr("timestamp_millis(unix_millis(ts) + k * 13000 % 1200000)").alias("payment_ts"),
+    return events.where("event_type = 'purchase' AND k % 10 <> 0").selectExpr(
+        "concat('txn-', event_id) AS txn_id",
+        f"{RIDE_ID_SQL} AS ride_id",
+        "CAST(round(value * 100) AS BIGINT) + CASE WHEN k % 17 = 0 THEN 1 ELSE 0 END AS amount_cents",
+        "element_at(array('completed', 'failed', 'refunded'), k % 3 + 1) AS status",
+        "element_at(array('card', 'cash', 'wallet'), k % 7 % 3 + 1) AS method",
+        "timestamp_millis(unix_millis(ts) + k * 13000 % 1200000) AS payment_ts",
     )
 
 
 def to_pings(events: DataFrame) -> DataFrame:
-    city = F.expr("CAST(user_id % 5 AS INT)")
-    return events.select(
-        F.concat(F.lit("d-"), F.col("user_id") % 10).alias("driver_id"),
+    """One ping per event; ten drivers share the users."""
+    return events.selectExpr(
+        "concat('d-', user_id % 10) AS driver_id",
         "ts",
-        F.expr("12.0D + (event_id * 31 % 101) / 1000.0D").alias("lat"),
-        F.expr("77.0D + (event_id * 17 % 101) / 1000.0D").alias("lon"),
-        F.expr("k * 0.5D").alias("speed_kmh"),
-        F.expr("event_id % 360 * 1.0D").alias("heading"),
-        F.expr(
-            "CASE event_type WHEN 'signup' THEN 'idle' WHEN 'view' THEN 'en_route_to_pickup'"
-            " WHEN 'error' THEN CASE WHEN k % 4 = 0 THEN 'offline' ELSE 'idle' END"
-            " ELSE 'on_trip' END"
-        ).alias("status"),
-        (city + 1).alias("city_id"),
-        F.col("event_id").alias("ping_id"),
+        "12.0D + (event_id * 31 % 101) / 1000.0D AS lat",
+        "77.0D + (event_id * 17 % 101) / 1000.0D AS lon",
+        "k * 0.5D AS speed_kmh",
+        "event_id % 360 * 1.0D AS heading",
+        "CASE event_type WHEN 'signup' THEN 'idle' WHEN 'view' THEN 'en_route_to_pickup'"
+        " WHEN 'error' THEN CASE WHEN k % 4 = 0 THEN 'offline' ELSE 'idle' END"
+        " ELSE 'on_trip' END AS status",
+        "CAST(user_id % 5 + 1 AS INT) AS city_id",
+        "event_id AS ping_id",
     )
 
 

@@ -13,7 +13,6 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from fareflow.operators.sessions import SLOT_FIELDS, derive_session
 from fareflow.schemas import (
     EVENT_ORDINALS,
-    MAX_LATENESS_SEC,
     RIDE_EVENT,
     RIDE_SESSION,
     SESSION_TIMEOUT_SEC,
@@ -27,21 +26,30 @@ _SLOT_VALUES = T.StructType(
         for n in SLOT_FIELDS
     ]
 )
-# What a slot keeps: its newest event, and when the ordinal first and last arrived.
-_SLOT_STATE = T.StructType(
+# A slot holds when its ordinal first and last arrived, and the last arrival's values.
+_SLOT = T.StructType(
     [T.StructField("first_at", T.LongType()), T.StructField("last_at", T.LongType()), *_SLOT_VALUES.fields]
 )
+_SLOT_NAMES = [f"s{n}" for n in EVENT_ORDINALS.values()]
+_STATE = T.StructType(
+    [T.StructField("closed_at", T.LongType()), *[T.StructField(s, _SLOT) for s in _SLOT_NAMES]]
+)
 OUTPUT = T.StructType(
     [
         T.StructField("ride_id", T.StringType()),
-        *[T.StructField(f"s{n}", _SLOT_VALUES) for n in EVENT_ORDINALS.values()],
+        *[T.StructField(s, _SLOT_VALUES) for s in _SLOT_NAMES],
         *[T.StructField(f"first_{name}", T.LongType()) for name in TERMINAL_TYPES],
     ]
 )
+_INPUT = ["ride_id", "event_seq", "kafka_offset", "_time", *SLOT_FIELDS]
+_TERMINAL = [EVENT_ORDINALS[t] - 1 for t in TERMINAL_TYPES]
 
 
 class RideSlots(StatefulProcessor):
-    """At most one slot per lifecycle ordinal is kept for a ride, however many events it has."""
+    """At most one slot per lifecycle ordinal is kept for a ride, however many events it has.
+
+    A ride is one state value, read and written once per micro-batch.
+    """
 
     def __init__(self, timeout_ms: int, delay_ms: int, retention_ms: int) -> None:
         self.timeout_ms = timeout_ms
@@ -50,79 +58,80 @@ class RideSlots(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.slots = handle.getMapState("slots", T.StructType([T.StructField("n", T.IntegerType())]), _SLOT_STATE)
-        self.closed = handle.getValueState("closed", T.StructType([T.StructField("at", T.LongType())]))
+        self.ride = handle.getValueState("ride", _STATE)
 
     def close(self) -> None:
         pass
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        if self.closed.exists():
+        state = self.ride.get()
+        if state is not None and state[0] is not None:
             return  # closed is final
-        slots = self._load()
-        is_new = not slots
+        slots = [None] * len(_SLOT_NAMES) if state is None else list(state[1:])
         for row in rows:
-            n, at = row.event_seq, row.kafka_offset
-            old = slots.get(n)
+            i, at, values = row[1] - 1, row[2], tuple(row[4:])
+            old = slots[i]
             if old is None:
-                slots[n] = (at, at, *[row[f] for f in SLOT_FIELDS])
+                slots[i] = (at, at, *values)
             elif at > old[1]:
-                slots[n] = (old[0], at, *[row[f] for f in SLOT_FIELDS])
+                slots[i] = (old[0], at, *values)
             elif at < old[0]:
-                slots[n] = (at, *old[1:])
-        if any(EVENT_ORDINALS[t] in slots for t in TERMINAL_TYPES):
+                slots[i] = (at, *old[1:])
+        if any(slots[i] is not None for i in _TERMINAL):
             yield self._close(key, slots, timerValues)
             return
-        for n, value in slots.items():
-            self.slots.updateValue((n,), value)
-        if is_new:
+        self.ride.update((None, *slots))
+        if state is None:
             self._wake(self._expiry(slots), timerValues)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        if self.closed.exists():
-            self.closed.clear()
+        state = self.ride.get()
+        now = timerValues.getCurrentWatermarkInMs()
+        if state is None:
             return
-        slots = self._load()
-        if not slots:
+        if state[0] is not None:
+            # The timer of an earlier, open state of the ride may come first; it changes nothing.
+            if state[0] + self.retention_ms <= now:
+                self.ride.clear()
             return
-        if self._expiry(slots) <= timerValues.getCurrentWatermarkInMs():
+        slots = list(state[1:])
+        if self._expiry(slots) <= now:
             yield self._close(key, slots, timerValues)
         else:
             self._wake(self._expiry(slots), timerValues)
 
-    def _load(self) -> dict[int, tuple]:
-        return {k[0]: tuple(v) for k, v in self.slots.iterator()}
+    @staticmethod
+    def _newest(slots: list) -> int:
+        return max(s[2] for s in slots if s is not None)
 
-    def _expiry(self, slots: dict[int, tuple]) -> int:
+    def _expiry(self, slots: list) -> int:
         """Watermark at which the ride is overdue: it trails the newest event by the delay."""
-        return max(s[2] for s in slots.values()) + self.timeout_ms - self.delay_ms + 1
+        return self._newest(slots) + self.timeout_ms - self.delay_ms + 1
 
     def _wake(self, at_ms: int, timerValues: Any) -> None:
         self.handle.registerTimer(max(at_ms, timerValues.getCurrentWatermarkInMs() + 1))
 
-    def _close(self, key: Any, slots: dict[int, tuple], timerValues: Any) -> Row:
-        newest = max(s[2] for s in slots.values())
-        self.slots.clear()
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        self.closed.update((newest,))
+    def _close(self, key: Any, slots: list, timerValues: Any) -> Row:
+        newest = self._newest(slots)
+        self.ride.update((newest, *[None] * len(slots)))
         self._wake(newest + self.retention_ms, timerValues)
-        values = [tuple(slots[n][2:]) if n in slots else None for n in EVENT_ORDINALS.values()]
-        firsts = [slots[EVENT_ORDINALS[t]][0] if EVENT_ORDINALS[t] in slots else None for t in TERMINAL_TYPES]
+        values = [None if s is None else tuple(s[2:]) for s in slots]
+        firsts = [None if slots[i] is None else slots[i][0] for i in _TERMINAL]
         return Row(*OUTPUT.names)(key[0], *values, *firsts)
 
 
 def sessionize(
     events: DataFrame,
     timeout_sec: int = SESSION_TIMEOUT_SEC,
-    delay_sec: int = MAX_LATENESS_SEC,
+    delay_sec: int = SESSION_TIMEOUT_SEC,
     closed_retention_sec: int = CLOSED_RETENTION_SEC,
 ) -> DataFrame:
     """Stream of closed sessions from a stream of clean ride events.
 
     A ride closes with the micro-batch that brings its terminal event, or once the newest event
-    time is strictly more than ``timeout_sec`` past its last one. Rows later than ``delay_sec`` are
-    dropped by Spark before they reach the state. Needs the RocksDB state store.
+    time is strictly more than ``timeout_sec`` past its last one. The watermark delay only says which
+    rows Spark drops before they reach the state, since timers allow for it: with the timeout as
+    delay, a dropped row is one that could not have kept its ride open. Needs the RocksDB store.
     """
     known = F.create_map(*[F.lit(x) for pair in EVENT_ORDINALS.items() for x in pair])
     rows = (
@@ -130,14 +139,8 @@ def sessionize(
         .withColumn("event_seq", F.try_element_at(known, F.col("event_type")))
         .where(F.col("event_seq").isNotNull())
         .withColumn("event_ms", F.unix_millis("event_ts"))
-        .select(
-            "ride_id",
-            "event_seq",
-            "kafka_offset",
-            F.col("event_ts").alias("_time"),
-            F.col("event_ms").alias("event_ts"),
-            *[f for f in SLOT_FIELDS if f != "event_ts"],
-        )
+        .withColumns({"_time": F.col("event_ts"), "event_ts": F.col("event_ms")})
+        .select(*_INPUT)
     )
     closed = rows.groupBy("ride_id").transformWithState(
         RideSlots(timeout_sec * 1000, delay_sec * 1000, closed_retention_sec * 1000),
