@@ -9,7 +9,7 @@ from fareflow.checks.analytics import FACT, FACT_USES, INGESTED, _fact
 from fareflow.checks.registry import query
 from fareflow.checks.sessions import rounded
 from fareflow.operators import offsets, ops, poison, quality, quantiles, scd2, upsert
-from fareflow.plans import dashboards, marts
+from fareflow.plans import contracts, dashboards, marts
 from fareflow.schemas import EVENT_ORDINALS, LANDED_EVENT_COLUMNS
 from fareflow.sources.derived import DriverTables
 
@@ -345,6 +345,52 @@ def column_tests(t: DriverTables) -> DataFrame:
     return quality.run_suite(t.table("orders"), "orders", tests, F.lit("run-1"), ts_lit(INGESTED))
 
 
+def _contract_checks(model: str) -> list[tuple]:
+    """A contract as (expectation, column, violation, None) rows for the SQL."""
+    contract = contracts.CONTRACTS[model]
+    rows = [(_N["unique"], c, f"{c} IN (SELECT {c} FROM t GROUP BY 1 HAVING count(*) > 1)", None) for c in contract.unique]
+    rows += [(_N["not_null"], c, f"{c} IS NULL", None) for c in (*contract.unique, *contract.not_null)]
+    for c, values in contract.accepted.items():
+        rows.append((_N["in_set"], c, f"{c} NOT IN ({', '.join(map(repr, values))})", None))
+    rows += [("relationships", c, f"{c} NOT IN (SELECT city_id FROM cities WHERE city_id <> 3)", None) for c in contract.refers]
+    return rows
+
+
+@query(
+    "event_contract",
+    _suite_sql("t", _contract_checks("stg_rides__events"), "stg_rides__events"),
+    ("ride_events", "cities"),
+    {"t": f"""SELECT *, event_ts AS event_at, CASE WHEN k % 10 <> 0 THEN kafka_offset END AS event_seq,
+  TIMESTAMP '{INGESTED}' AS ingested_at FROM ride_events"""},
+)
+def event_contract(t: DriverTables) -> DataFrame:
+    """The staging contract on events with a hole in one column, against a seed without city 3."""
+    seq = F.when(F.col("k") % 10 != 0, F.col("kafka_offset"))
+    staged = marts.stage_events(t.ride_events.withColumns({"event_seq": seq, "ingested_at": ts_lit(INGESTED)}))
+    parents = {"dim_cities": marts.dim_cities(t.cities).where("city_id <> 3")}
+    return contracts.check_model(
+        staged, "stg_rides__events", parents, F.lit("run-1"), ts_lit(INGESTED), "warn"
+    )
+
+
+@query(
+    "ride_fact_contract",
+    _suite_sql("t", _contract_checks("fct_rides"), "fct_rides"),
+    (*FACT_USES, "cities"),
+    {**FACT, "t": f"SELECT *, TIMESTAMP '{INGESTED}' AS ingested_at FROM enriched"},
+)
+def ride_fact_contract(t: DriverTables) -> DataFrame:
+    parents = {"dim_cities": marts.dim_cities(t.cities).where("city_id <> 3")}
+    return contracts.check_model(
+        _fact(t), "fct_rides", parents, F.lit("run-1"), ts_lit(INGESTED), "warn"
+    )
+
+
+@query("city_list", "SELECT city_id, name AS city_name, center_lat, center_lon FROM cities", ("cities",))
+def city_list(t: DriverTables) -> DataFrame:
+    return dashboards.city_list(marts.dim_cities(t.cities))
+
+
 @query(
     "rides_without_duration",
     """SELECT ride_id, terminal_state, started_at, ride_duration_sec FROM enriched WHERE terminal_state = 'completed'

@@ -14,6 +14,10 @@ from fareflow.operators.quantiles import exact_quantiles
 from fareflow.schemas import MATCH_BUCKET_SEC
 
 
+def city_list(cities: DataFrame) -> DataFrame:
+    return cities.select("city_id", "city_name", "center_lat", "center_lon").orderBy("city_id")
+
+
 def ride_totals(sessions: DataFrame) -> DataFrame:
     return sessions.agg(
         F.count(F.lit(1)).alias("rides_closed"),
@@ -51,7 +55,7 @@ def city_scorecard(hourly: DataFrame) -> DataFrame:
         rate(completed, closed).alias("completion_rate"),
         F.avg("avg_surge").alias("avg_surge"),
         F.sum("late_arrivals").alias("late_arrivals"),
-    )
+    ).orderBy(F.col("rides_closed").desc())
 
 
 def utilisation_by_city(shifts: DataFrame, cities: DataFrame) -> DataFrame:
@@ -75,7 +79,7 @@ def utilisation_by_city(shifts: DataFrame, cities: DataFrame) -> DataFrame:
             F.try_divide(F.sum(f"sum_{c}"), F.sum(f"n_{c}")).alias(out)
             for c, out in zip(means, outs, strict=True)
         ],
-    )
+    ).orderBy(F.col("shifts").desc())
 
 
 def rides_by_city(rides: DataFrame, width: str = "15 minutes") -> DataFrame:
@@ -88,6 +92,7 @@ def rides_by_city(rides: DataFrame, width: str = "15 minutes") -> DataFrame:
             rate(F.count_if(F.col("terminal_state") == "completed"), n).alias("completion_rate"),
         )
         .select(F.col("w.start").alias("time"), "city_name", "rides", "completion_rate")
+        .orderBy("time")
     )
 
 
@@ -98,6 +103,7 @@ def rides_per_minute(sessions: DataFrame, hours: int) -> DataFrame:
         sessions.where(F.col("requested_ts") > newest - seconds(hours * 3600))
         .groupBy(F.date_trunc("MINUTE", "requested_ts").alias("minute_ts"), "city_id")
         .agg(F.count(F.lit(1)).alias("rides"))
+        .orderBy("minute_ts")
     )
 
 
@@ -163,6 +169,7 @@ def latest_quality(results: DataFrame) -> DataFrame:
             F.count_if("success").alias("n_pass"),
             F.when(F.count_if(~F.col("success")) > 0, failed).alias("failed"),
         )
+        .orderBy("suite")
     )
 
 
