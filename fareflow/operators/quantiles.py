@@ -8,12 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Equi-join on ``keys`` where null matches null; the keys come out once."""
-    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
+from fareflow.operators.slices import null_safe_join
 
 
 def _ranks(q: float, total: Column, method: str) -> tuple[Column, Column, Column]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fareflow.functions.geo import haversine_km
 from fareflow.functions.times import seconds, slice_of, whole_seconds
-from fareflow.operators.slices import number_islands
+from fareflow.operators.slices import HOT_ROWS, number_islands
 from fareflow.schemas import PING_SESSION_GAP_SEC, SHIFT_GAP_SEC
 
 SLICE_SEC = 3600
@@ -20,6 +20,7 @@ def numbered_shifts(
     order: Sequence[str] = ("ts",),
     gap_sec: int = SHIFT_GAP_SEC,
     slice_sec: int = SLICE_SEC,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Pings with ``shift_seq``, ``is_new`` and ``step_km`` from the ping before.
 
@@ -34,6 +35,7 @@ def numbered_shifts(
         ["ts", "lat", "lon", "status"],
         (F.col("ts") > F.col("prev.ts") + seconds(gap_sec)) | (F.col("prev.status") == "offline"),
         "shift_seq",
+        hot_rows,
     )
     step = haversine_km(F.col("prev.lat"), F.col("prev.lon"), F.col("lat"), F.col("lon"))
     return rows.withColumn("step_km", F.coalesce(step, F.lit(0.0))).drop("prev")
@@ -44,12 +46,13 @@ def driver_shifts(
     order: Sequence[str] = ("ts",),
     gap_sec: int = SHIFT_GAP_SEC,
     slice_sec: int = SLICE_SEC,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per driver shift."""
     on_trip = F.count_if(F.col("status") == "on_trip").cast("double")
     span_us = F.unix_micros(F.max("ts")) - F.unix_micros(F.min("ts"))
     return (
-        numbered_shifts(pings, order, gap_sec, slice_sec)
+        numbered_shifts(pings, order, gap_sec, slice_sec, hot_rows)
         .groupBy("driver_id", "shift_seq")
         .agg(
             F.min("city_id").alias("city_id"),
@@ -89,6 +92,7 @@ def ping_sessions(
     order: Sequence[str] = ("ts",),
     gap_sec: int = PING_SESSION_GAP_SEC,
     slice_sec: int = SLICE_SEC,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Batch session windows per driver; a gap of exactly ``gap_sec`` still joins."""
     rows = number_islands(
@@ -99,6 +103,7 @@ def ping_sessions(
         ["ts"],
         F.col("ts") > F.col("prev.ts") + seconds(gap_sec),
         "session_seq",
+        hot_rows,
     )
     grouped = rows.groupBy("driver_id", "session_seq").agg(
         F.min("ts").alias("session_start"),

@@ -1,24 +1,68 @@
 """Ordered per-key computations that survive a hot key.
 
-A plain ``Window.partitionBy(key).orderBy(ts)`` sends every row of a key to one task. Here a
-key's rows are cut into slices (a time range or an offset range), the window runs per
-(key, slice), and only one small summary row per slice crosses slice borders. The summaries
-are built with map-side partial aggregation, so a key that holds a third of all rows costs one
-row per slice in the only per-key window.
+A plain ``Window.partitionBy(key).orderBy(ts)`` sends every row of a key to one task. Here the
+rows of hot keys are cut into slices (a time range or an offset range), windows run per
+(key, slice), and only one small summary row per slice crosses slice borders. Summaries are
+made for hot keys alone, with map-side partial aggregation. Other keys are one slice each and
+cost what the plain window costs, plus a count per key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE = "_slice"
+HOT = "_hot"
+HOT_ROWS = 100_000
+MOST_HOT_KEYS = 4096
 
 
-def _key_list(keys: Sequence[str]) -> list[str]:
-    return [*keys, SLICE]
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Equi-join on ``keys`` where null matches null; the keys come out once."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The keys with more than ``hot_rows`` rows, the biggest MOST_HOT_KEYS of them.
+
+    A key left out has at most ``hot_rows`` rows or less than one in MOST_HOT_KEYS of all rows.
+    """
+    n = F.count(F.lit(1)).alias("_n")
+    counted = df.groupBy(*keys).agg(n).where(F.col("_n") > hot_rows)
+    biggest = counted.orderBy(F.col("_n").desc(), *keys).limit(MOST_HOT_KEYS)
+    return biggest.select(*keys, F.lit(True).alias(HOT))
+
+
+def _sliced(df: DataFrame, keys: Sequence[str], slice_id: Column, hot: DataFrame) -> DataFrame:
+    """Mark the rows of hot keys and give them their slice; other rows are slice 0."""
+    # At most MOST_HOT_KEYS rows, so the broadcast is bounded.
+    marked = null_safe_join(df, F.broadcast(hot), keys, "left")
+    return marked.withColumn(SLICE, F.when(F.col(HOT), slice_id).otherwise(F.lit(0)).cast("long"))
+
+
+def _add_previous(
+    sliced: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], out: str
+) -> DataFrame:
+    per_slice, picked = [*keys, SLICE], F.struct(*columns)
+    tails = sliced.where(HOT).groupBy(*per_slice).agg(
+        F.max_by(picked, F.struct(*order)).alias("_tail")
+    )
+    per_key = Window.partitionBy(*keys).orderBy(SLICE)
+    carried = tails.select(*per_slice, F.lag("_tail").over(per_key).alias("_carried")).where(
+        F.col("_carried").isNotNull()
+    )
+    in_slice = Window.partitionBy(*per_slice).orderBy(*order)
+    return (
+        null_safe_join(sliced, carried, per_slice, "left")
+        .withColumn(out, F.coalesce(F.lag(picked).over(in_slice), F.col("_carried")))
+        .drop("_carried")
+    )
 
 
 def with_previous_row(
@@ -28,25 +72,14 @@ def with_previous_row(
     slice_id: Column,
     columns: Sequence[str],
     out: str = "prev",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``out``: a struct of ``columns`` of the row before, per key in ``order``.
 
     ``slice_id`` must not decrease along ``order``. The struct is null on a key's first row.
-    The result keeps the helper column SLICE and stays hash-partitioned on (keys, SLICE).
     """
-    sliced = df.withColumn(SLICE, slice_id)
-    picked = F.struct(*columns)
-    tails = sliced.groupBy(*_key_list(keys)).agg(F.max_by(picked, F.struct(*order)).alias("_tail"))
-    per_key = Window.partitionBy(*keys).orderBy(SLICE)
-    carried = tails.select(
-        *_key_list(keys), F.lag("_tail").over(per_key).alias("_carried")
-    ).where(F.col("_carried").isNotNull())
-    in_slice = Window.partitionBy(*_key_list(keys)).orderBy(*order)
-    return (
-        sliced.join(carried, _key_list(keys), "left")
-        .withColumn(out, F.coalesce(F.lag(picked).over(in_slice), F.col("_carried")))
-        .drop("_carried")
-    )
+    sliced = _sliced(df, keys, slice_id, hot_keys(df, keys, hot_rows))
+    return _add_previous(sliced, keys, order, columns, out).drop(SLICE, HOT)
 
 
 def with_running(
@@ -58,20 +91,22 @@ def with_running(
     out: str,
     kind: str = "max",
     inclusive: bool = True,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``out``: running ``max`` or ``sum`` of ``value`` per key in ``order``.
 
     ``inclusive=False`` leaves the row itself out; the result is then null on the first row.
     """
     fold = {"max": F.max, "sum": F.sum}[kind]
-    sliced = df.withColumn(SLICE, slice_id).withColumn("_value", value)
-    totals = sliced.groupBy(*_key_list(keys)).agg(fold("_value").alias("_total"))
+    per_slice = [*keys, SLICE]
+    sliced = _sliced(df, keys, slice_id, hot_keys(df, keys, hot_rows)).withColumn("_value", value)
+    totals = sliced.where(HOT).groupBy(*per_slice).agg(fold("_value").alias("_total"))
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(*_key_list(keys), fold("_total").over(before).alias("_carried")).where(
+    carried = totals.select(*per_slice, fold("_total").over(before).alias("_carried")).where(
         F.col("_carried").isNotNull()
     )
     in_slice = (
-        Window.partitionBy(*_key_list(keys))
+        Window.partitionBy(*per_slice)
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     )
@@ -84,10 +119,10 @@ def with_running(
             F.coalesce(local, F.lit(0)) + F.coalesce(carry, F.lit(0)),
         )
     return (
-        sliced.join(carried, _key_list(keys), "left")
+        null_safe_join(sliced, carried, per_slice, "left")
         .withColumn("_local", fold("_value").over(in_slice))
         .withColumn(out, combined)
-        .drop("_local", "_carried", "_value", SLICE)
+        .drop("_local", "_carried", "_value", SLICE, HOT)
     )
 
 
@@ -99,6 +134,7 @@ def number_islands(
     carry: Sequence[str],
     starts_new: Column,
     out: str = "island",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Gaps and islands: number each key's runs 1, 2, … and flag the rows that open one.
 
@@ -106,26 +142,28 @@ def number_islands(
     the row before). A key's first row always opens an island. Adds ``prev``, ``is_new``
     (0/1) and ``out``.
     """
-    in_slice = Window.partitionBy(*_key_list(keys)).orderBy(*order).rowsBetween(
+    per_slice = [*keys, SLICE]
+    hot = hot_keys(df, keys, hot_rows)
+    in_slice = Window.partitionBy(*per_slice).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
 
-    def flagged(rows: DataFrame) -> DataFrame:
-        return with_previous_row(rows, keys, order, slice_id, carry).withColumn(
+    def flagged(sliced: DataFrame) -> DataFrame:
+        return _add_previous(sliced, keys, order, carry, "prev").withColumn(
             "is_new", F.when(F.col("prev").isNull() | starts_new, 1).otherwise(0)
         )
 
-    # Islands opened per slice, from the few columns the rule reads; summed over the slices before.
-    narrow = df.select(*dict.fromkeys([*keys, *order, *carry]))
-    opened = flagged(narrow).groupBy(*_key_list(keys)).agg(F.sum("is_new").alias("_opened"))
+    # Islands a hot key opened in the slices before, from the few columns the rule reads.
+    narrow = _sliced(df, keys, slice_id, hot).where(HOT)
+    narrow = narrow.select(*dict.fromkeys([*keys, SLICE, HOT, *order, *carry]))
+    opened = flagged(narrow).groupBy(*per_slice).agg(F.sum("is_new").alias("_opened"))
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = opened.select(
-        *_key_list(keys), F.coalesce(F.sum("_opened").over(before), F.lit(0)).alias("_base")
+    offsets = opened.select(*per_slice, F.sum("_opened").over(before).alias("_base"))
+    rows = flagged(_sliced(df, keys, slice_id, hot)).withColumn(
+        "_local", F.sum("is_new").over(in_slice)
     )
     return (
-        flagged(df)
-        .withColumn("_local", F.sum("is_new").over(in_slice))
-        .join(offsets, _key_list(keys))
-        .withColumn(out, F.col("_base") + F.col("_local"))
-        .drop("_base", "_local", SLICE)
+        null_safe_join(rows, offsets, per_slice, "left")
+        .withColumn(out, F.coalesce("_base", F.lit(0)) + F.col("_local"))
+        .drop("_base", "_local", SLICE, HOT)
     )

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareflow.functions.rides import match_bucket, rate
-from fareflow.operators.quantiles import histogram_quantiles, null_safe_join
+from fareflow.operators.quantiles import histogram_quantiles
+from fareflow.operators.slices import null_safe_join
 from fareflow.schemas import MATCH_BUCKET_SEC
 
 

@@ -11,8 +11,9 @@ from fareflow.functions.rides import driver_tier, rate
 from fareflow.functions.times import seconds
 from fareflow.operators.joins import left_join_unique
 from fareflow.operators.latest import latest_per_key
-from fareflow.operators.quantiles import exact_quantiles, null_safe_join
+from fareflow.operators.quantiles import exact_quantiles
 from fareflow.operators.shifts import driver_shifts
+from fareflow.operators.slices import null_safe_join
 from fareflow.operators.upsert import replace_keys
 from fareflow.schemas import FACT_LOOKBACK_SEC, MATCH_BUCKET_SEC
 

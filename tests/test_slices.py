@@ -1,4 +1,7 @@
-"""Sliced computations against plain windows, with slices so narrow that most rows cross one."""
+"""Sliced computations against plain windows, with slices so narrow that most rows cross one.
+
+``hot_rows`` 0 slices every key, 5 only those with more rows.
+"""
 
 from __future__ import annotations
 
@@ -14,7 +17,7 @@ from fareflow.operators.shifts import driver_shifts, numbered_shifts, ping_sessi
 from tests.rides import T0, collect
 
 ROWS = st.lists(
-    st.tuples(st.sampled_from(["a", "a", "a", "b"]), st.integers(0, 60), st.integers(0, 9)),
+    st.tuples(st.sampled_from(["a", "a", "a", "b", None]), st.integers(0, 60), st.integers(0, 9)),
     min_size=1,
     max_size=25,
 )
@@ -26,8 +29,8 @@ def frame(spark, rows):
 
 
 @FAST
-@given(ROWS)
-def test_previous_row_and_running(spark, rows):
+@given(ROWS, st.sampled_from([0, 5]))
+def test_previous_row_and_running(spark, rows, hot):
     df = frame(spark, rows)
     cut = F.floor(F.col("t") / 4).cast("long")
     plain = Window.partitionBy("key").orderBy("t", "id")
@@ -38,16 +41,16 @@ def test_previous_row_and_running(spark, rows):
         F.max("v").over(before).alias("top"),
         F.sum("v").over(plain.rowsBetween(Window.unboundedPreceding, 0)).alias("total"),
     )
-    a = slices.with_previous_row(df, ["key"], ["t", "id"], cut, ["v"]).select("id", "prev.v")
-    b = slices.with_running(df, ["key"], ["t", "id"], cut, F.col("v"), "top", "max", False).select("id", "top")
-    c = slices.with_running(df, ["key"], ["t", "id"], cut, F.col("v"), "total", "sum").select("id", "total")
+    a = slices.with_previous_row(df, ["key"], ["t", "id"], cut, ["v"], hot_rows=hot).select("id", "prev.v")
+    b = slices.with_running(df, ["key"], ["t", "id"], cut, F.col("v"), "top", "max", False, hot).select("id", "top")
+    c = slices.with_running(df, ["key"], ["t", "id"], cut, F.col("v"), "total", "sum", hot_rows=hot).select("id", "total")
     got = a.withColumnRenamed("v", "prev").join(b, "id").join(c, "id")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
 @FAST
-@given(ROWS)
-def test_islands(spark, rows):
+@given(ROWS, st.sampled_from([0, 5]))
+def test_islands(spark, rows, hot):
     df = frame(spark, rows)
     plain = Window.partitionBy("key").orderBy("t", "id")
     opens = F.lag("t").over(plain).isNull() | (F.col("t") - F.lag("t").over(plain) > 3)
@@ -55,7 +58,8 @@ def test_islands(spark, rows):
         "id", F.sum("n").over(plain.rowsBetween(Window.unboundedPreceding, 0)).alias("island")
     )
     got = slices.number_islands(
-        df, ["key"], ["t", "id"], F.floor(F.col("t") / 4).cast("long"), ["t"], F.col("t") - F.col("prev.t") > 3
+        df, ["key"], ["t", "id"], F.floor(F.col("t") / 4).cast("long"), ["t"], F.col("t") - F.col("prev.t") > 3,
+        hot_rows=hot,
     ).select("id", "island")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
@@ -105,8 +109,8 @@ def pings(spark, rows):
 def test_shift_edges(spark):
     """A gap of exactly 30 minutes stays in the shift; offline ends it; every hour is a slice."""
     rows = pings(spark, [(0, "idle"), (1800, "on_trip"), (3601, "offline"), (3700, "idle"), (5501, "idle")])
-    assert [r["shift_seq"] for r in numbered_shifts(rows, slice_sec=600).orderBy("ts").collect()] == [1, 1, 2, 3, 4]
-    shifts = {r["shift_id"]: r for r in collect(driver_shifts(rows, slice_sec=600))}
+    assert [r["shift_seq"] for r in numbered_shifts(rows, slice_sec=600, hot_rows=0).orderBy("ts").collect()] == [1, 1, 2, 3, 4]
+    shifts = {r["shift_id"]: r for r in collect(driver_shifts(rows, slice_sec=600, hot_rows=0))}
     assert set(shifts) == {"d.1", "d.2", "d.3", "d.4"}
     first = shifts["d.1"]
     assert (first["active_minutes"], first["ping_count"], first["on_trip_share"]) == (30.0, 2, 0.5)
@@ -116,7 +120,7 @@ def test_shift_edges(spark):
 
 def test_ping_session_edges(spark):
     rows = pings(spark, [(0, "idle"), (300, "idle"), (601, "idle")])
-    got = sorted(collect(ping_sessions(rows, slice_sec=60)), key=lambda r: r["session_start"])
+    got = sorted(collect(ping_sessions(rows, slice_sec=60, hot_rows=0)), key=lambda r: r["session_start"])
     assert [(r["ping_count"], r["active_minutes"]) for r in got] == [(2, 5.0), (1, 0.0)]
     assert got[0]["session_end"] == T0 + 600_000
     assert got[0]["distance_km"] == pytest.approx(30.0 * 300 / 3600)

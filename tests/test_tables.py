@@ -218,7 +218,7 @@ def test_ledger_moves_forward_and_resumes_behind(spark):
 def test_alert_needs_two_unbroken_minutes(spark):
     rows = [("g", "e", 0, s * 1000, lag) for s, lag in [(0, 1001), (60, 2000), (120, 1001), (180, 1000), (240, 5000), (359, 5000)]]
     samples = stamp(spark.createDataFrame(rows, "consumer_group string, topic string, partition int, ts long, lag long"), "ts")
-    got = sorted((r["started_at"], r["n_samples"], r["firing"]) for r in collect(ops.lag_alerts(samples, slice_sec=60)))
+    got = sorted((r["started_at"], r["n_samples"], r["firing"]) for r in collect(ops.lag_alerts(samples, slice_sec=60, hot_rows=0)))
     assert got == [(0, 3, True), (240_000, 2, False)]
 
 
@@ -245,14 +245,14 @@ def test_audit(spark):
 def test_lifecycle(spark):
     assert ops.lifecycle_violations(events_df(spark, full_ride())).count() == 0
     odd = [event("matched", T0, "x"), event("started", T0 + 1, "x"), event("cancelled", T0, "x"), event("completed", T0 + 5, "x")]
-    rows = ops.lifecycle_violations(events_df(spark, odd), offsets_per_slice=2)
+    rows = ops.lifecycle_violations(events_df(spark, odd), offsets_per_slice=2, hot_rows=0)
     got = [r["violation"] for r in rows.orderBy("kafka_offset").collect()]
     assert got == ["first is not requested", "illegal edge", "time runs back", "after terminal"]
 
 
 def test_late_rows(spark):
     events = [event("requested", T0, "a"), event("requested", T0 + 600_000, "b"), event("matched", T0 + 570_000, "a"), event("matched", T0 + 69_999, "c")]
-    got = late.late_events(events_df(spark, events), offsets_per_slice=2)
+    got = late.late_events(events_df(spark, events), offsets_per_slice=2, hot_rows=0)
     assert [(r["ride_id"], r["late_by_sec"]) for r in got.collect()] == [("c", 500)]
 
 
