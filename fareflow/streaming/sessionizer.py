@@ -67,7 +67,7 @@ class RideSlots(StatefulProcessor):
         state = self.ride.get()
         if state is not None and state[0] is not None:
             return  # closed is final
-        slots = [None] * len(_SLOT_NAMES) if state is None else list(state[1:])
+        slots = [None] * len(_SLOT_NAMES) if state is None else self._slots(state)
         for row in rows:
             i, at, values = row[1] - 1, row[2], tuple(row[4:])
             old = slots[i]
@@ -94,12 +94,17 @@ class RideSlots(StatefulProcessor):
             if state[0] + self.retention_ms <= now:
                 self.ride.clear()
             return
-        slots = list(state[1:])
+        slots = self._slots(state)
         if self._expiry(slots) <= now:
             yield self._close(key, slots, timerValues)
         else:
             self._wake(self._expiry(slots), timerValues)
 
+    @staticmethod
+    def _slots(state: tuple) -> list:
+        """Slots as plain tuples, which can be written back; a read state holds rows."""
+        return [None if s is None else tuple(s) for s in state[1:]]
+
     @staticmethod
     def _newest(slots: list) -> int:
         return max(s[2] for s in slots if s is not None)
