@@ -102,7 +102,7 @@ def offset_ledger(t: DriverTables) -> DataFrame:
 @query(
     "resume_after_ledger",
     """SELECT kafka_partition AS partition, kafka_offset AS "offset" FROM ride_events r WHERE kafka_partition = 3 OR kafka_offset >
-  (SELECT max(kafka_offset) FROM ride_events x WHERE x.kafka_partition = r.kafka_partition AND x.source_id % 1000 = 0)""",
+  (SELECT coalesce(max(kafka_offset), -1) FROM ride_events x WHERE x.kafka_partition = r.kafka_partition AND x.source_id % 1000 = 0)""",
     ("ride_events",),
 )
 def resume_after_ledger(t: DriverTables) -> DataFrame:
