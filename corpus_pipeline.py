@@ -13,6 +13,8 @@ from fareflow.llm.common import table, written
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language", stages.known_language),
     ("near duplicates", stages.one_of_each_group),
+    ("decontamination", stages.uncontaminated),
+    ("mixing", stages.mixed),
     ("token files", stages.token_files_in_order),
 ]
 

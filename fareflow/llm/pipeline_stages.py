@@ -7,8 +7,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import language, simhash, token_files
-from fareflow.llm.common import free_name
+from fareflow.llm import decontaminate, language, mixing, simhash, token_files
+from fareflow.llm.common import free_name, table
 from fareflow.session import work_dir
 
 #: A text goes if its language holds less than this share of its n-grams: no known language at all.
@@ -28,6 +28,16 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return simhash.one_per_group(docs)
 
 
+def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that the benchmark's passages contaminate."""
+    return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order in which the sources are mixed to their target weights."""
+    return mixing.in_mixed_order(docs, mixing.TARGETS, rest_weight=mixing.REST_TARGET)
+
+
 def token_files_in_order(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Write the token files in the order the mixing stage wrote the rows; what the files hold per document.
 

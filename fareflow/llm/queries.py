@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import language, simhash, token_counts, token_files
+from fareflow.llm import decontaminate, language, mixing, simhash, token_counts, token_files
 from fareflow.llm.common import table
 from fareflow.session import work_dir
 
@@ -47,3 +47,84 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learnt from three quarters of them."""
     return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slot of every document in the mixture of sources."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), mixing.TARGETS, mixing.REST_TARGET)
+    return mixed.select("doc_id", "source", "grp", "block", "row_in_block", "release", "deadline", "slot")
+
+
+def mixing_sql(weights: dict[str, int], rest: int, block_rows: int) -> str:
+    """The mixture stated slot by slot: each slot takes the open block with the earliest deadline."""
+    shares = ", ".join(f"('{g}', {w})" for g, w in [*weights.items(), (mixing.REST, rest)])
+    return f"""
+WITH RECURSIVE share(grp, w) AS (VALUES {shares}),
+doc AS (
+  SELECT doc_id, source, coalesce(s.grp, '{mixing.REST}') AS grp,
+    row_number() OVER (PARTITION BY coalesce(s.grp, '{mixing.REST}') ORDER BY md5('0:' || doc_id)) - 1 AS k
+  FROM documents LEFT JOIN share s ON s.grp = source),
+placed AS (SELECT *, k // {block_rows} AS block, CAST(k % {block_rows} AS INTEGER) AS row_in_block FROM doc),
+blk AS (
+  SELECT grp, block, block // w AS rnd, block % w AS i, count(*) OVER (PARTITION BY grp, block // w) AS m
+  FROM (SELECT DISTINCT grp, block FROM placed) JOIN share USING (grp)),
+rnd AS (
+  SELECT rnd, count(*) AS slots, coalesce(sum(count(*)) OVER (ORDER BY rnd ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base
+  FROM blk GROUP BY rnd),
+win AS (
+  SELECT grp, block, CAST(base AS BIGINT) AS base, CAST(i * slots // m AS INTEGER) AS release,
+    CAST(((i + 1) * slots + m - 1) // m AS INTEGER) AS deadline
+  FROM blk JOIN rnd USING (rnd)),
+open AS (
+  SELECT grp, block, base + release AS free, {{'due': base + deadline, 'free': base + release, 'grp': grp, 'block': block}} AS id
+  FROM win),
+sim(t, done, pick) AS (
+  SELECT CAST(-1 AS BIGINT), CAST([] AS STRUCT(due BIGINT, free BIGINT, grp VARCHAR, block BIGINT)[]),
+    CAST(NULL AS STRUCT(due BIGINT, free BIGINT, grp VARCHAR, block BIGINT))
+  UNION ALL
+  SELECT t + 1, list_append(done, next), next
+  FROM (SELECT t, done, (SELECT min(id) FROM open WHERE free <= t + 1 AND NOT list_contains(done, id)) AS next FROM sim)
+  WHERE next IS NOT NULL)
+SELECT doc_id, source, grp, placed.block, row_in_block, release, deadline, t AS slot
+FROM placed JOIN win USING (grp, block) JOIN sim ON pick.grp = grp AND pick.block = placed.block"""
+
+
+ORACLE["op1_mixing"] = mixing_sql(mixing.TARGETS, mixing.REST_TARGET, block_rows=64)
+
+
+@query
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in every document."""
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: Stated from the rule alone: all runs of as many words as a window has, looked up as whole strings.
+ORACLE["op4_decontaminate"] = r"""
+WITH doc AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+item AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+sized AS (SELECT item_id, w, least(13, len(w)) AS n FROM item WHERE len(w) > 0),
+win AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS s
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM sized)),
+run AS (
+  SELECT r, n, i, array_to_string(w[i : i + n - 1], ' ') AS s
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM doc, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hit AS (SELECT r, i, run.n, item_id FROM run JOIN win USING (n, s)),
+word AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hit) GROUP BY r),
+named AS (
+  SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+  FROM (SELECT DISTINCT r, item_id FROM hit WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN word USING (r) LEFT JOIN named USING (r)"""
