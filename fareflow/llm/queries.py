@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import decontaminate, language, mixing, simhash, token_counts, token_files
+from fareflow.llm import decontaminate, embeddings, language, mixing, simhash, token_counts, token_files
 from fareflow.llm.common import table
 from fareflow.session import work_dir
 
@@ -36,6 +36,12 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(spark, files)
 
 
+@query
+def op7_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and group of every vector."""
+    return embeddings.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of near-duplicates of every document."""
