@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import decontaminate, embeddings, language, mixing, simhash, token_counts, token_files
+from fareflow.llm import decontaminate, embeddings, language, mixing, shards, simhash, token_counts, token_files
 from fareflow.llm.common import table
 from fareflow.session import work_dir
 
@@ -134,3 +134,11 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc LEFT JOIN word USING (r) LEFT JOIN named USING (r)"""
+
+
+@query
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    placed = shards.with_shards(table(spark, sf_dir, "documents"), shards=8)
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    return placed.select("doc_id", "size", crc.alias("text_crc32"), "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
