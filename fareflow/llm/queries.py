@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import decontaminate, embeddings, language, mixing, shards, simhash, token_counts, token_files
+from fareflow.llm import decontaminate, embeddings, language, mixing, shards, simhash, token_counts, token_files, urls
 from fareflow.llm.common import table
 from fareflow.session import work_dir
 
@@ -99,6 +99,16 @@ FROM placed JOIN win USING (grp, block) JOIN sim ON pick.grp = grp AND pick.bloc
 ORACLE["op1_mixing"] = mixing_sql(mixing.TARGETS, mixing.REST_TARGET, block_rows=64)
 
 
+#: The rules of the contract, in their own notation.
+RULES = ("block net/", "allow example.net/en/", "block example.com/de/", "allow org/fr/")
+
+
+@query
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path and verdict of every page's url."""
+    return urls.judge(table(spark, sf_dir, "pages"), urls.parse_rules(RULES))
+
+
 @query
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in every document."""
