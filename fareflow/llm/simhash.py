@@ -11,6 +11,7 @@ the rest is compared bit by bit. No pair within the radius is lost, and there is
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -138,12 +139,12 @@ def shard_plan(cells: pd.DataFrame, shard_rows: int, radius: int) -> tuple[pd.Da
     return cells, pd.DataFrame(pairs, columns=["a", "b"])
 
 
-def near_fingerprints(prints: DataFrame, radius: int = 4, shard_rows: int = 16384, most_shards: int = 256) -> DataFrame:
+def near_fingerprints(prints: DataFrame, radius: int = 4, shard_scale: int = 64) -> DataFrame:
     """Links (a, b) that connect all fingerprints within ``radius``; a forest for each pair of shards.
 
-    ``prints`` has one row per fingerprint (``fp``). Shards hold ``shard_rows`` fingerprints, or more
-    once there would be over ``most_shards`` of them; their pairs are at most
-    (most_shards + 1)^2 rows, and the leaves at most 17^4, which bounds what the driver plans with.
+    ``prints`` has one row per fingerprint (``fp``). Of n fingerprints a shard holds ``shard_scale * sqrt(n)``, so
+    the size of a pair of shards and the number of copies each fingerprint is dealt in both
+    grow as the root of n. The leaves, at most 17^4, and the pairs, n / shard_scale^2 at most, are what the driver plans with.
     """
     spark = prints.sparkSession
     links = "a long, b long"
@@ -153,7 +154,7 @@ def near_fingerprints(prints: DataFrame, radius: int = 4, shard_rows: int = 1638
     placed = prints.select("fp", *[d.alias(f"q{i}") for i, d in enumerate(distances(F.col("fp"), vantage))])
     qs = [f"q{i}" for i in range(QUARTERS)]
     cells = placed.groupBy(*qs).agg(F.count("*").alias("n")).toPandas()
-    cells, pairs = shard_plan(cells, max(shard_rows, -(-n // most_shards)), radius)
+    cells, pairs = shard_plan(cells, math.ceil(shard_scale * math.sqrt(n)), radius)
     plan = spark.createDataFrame(cells[[*qs, "shard", "pieces"]])
     pair_rows = spark.createDataFrame(pairs.reset_index(names="pair"))
     ends = pair_rows.select("pair", F.col("a").alias("shard"), F.lit(0).alias("side")).union(
