@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import decontaminate, embeddings, language, mixing, shards, simhash, token_counts, token_files, urls
+from fareflow.llm import decontaminate, embeddings, language, mixing, shards, simhash, surrogates, token_counts, token_files, urls
 from fareflow.llm.common import table
 from fareflow.session import work_dir
 
@@ -109,6 +109,14 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), urls.parse_rules(RULES))
 
 
+@query
+def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's whole text with personal data replaced, and how many entities it had."""
+    made = surrogates.with_surrogates(table(spark, sf_dir, "documents"), key="the key of this corpus")
+    n = F.aggregate(F.map_values("entities"), F.lit(0).cast("long"), lambda a, b: a + b)
+    return made.select("doc_id", "text", n.alias("n_entities"), F.to_json("entities").alias("entities"))
+
+
 @query
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in every document."""
