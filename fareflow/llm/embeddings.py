@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -156,38 +157,41 @@ def linked_classes(classes: DataFrame, threshold: float, hashing: Hashing, block
     dealt = units.select(unit.alias("unit"), "tab", "own", "cls").join(classes, "cls")
     grouped = dealt.select("unit", "tab", "own", "cls", "copies", "vector").repartition("unit").sortWithinPartitions("unit")
 
+    def compared(table: pa.Table) -> pa.RecordBatch:
+        """Counts and forest of whole units of work whose vectors have one length."""
+        group, tab, side, cls, copies = (table.column(i).to_numpy() for i in range(5))
+        unit = normalised(matrix(table.column(5).combine_chunks()))
+        # Units of two blocks compare across them only.
+        starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        mixed = np.minimum.reduceat(side, starts) != np.maximum.reduceat(side, starts)
+        two = np.repeat(mixed, np.diff(np.append(starts, len(group))))
+        buckets, n, roots = None, np.zeros(len(group), np.int64), np.arange(len(group))
+        for i, j in close_pairs(unit, group, threshold):
+            across = ~two[i] | (side[i] != side[j])
+            i, j = i[across], j[across]
+            if not len(i):
+                continue
+            roots = forest(len(group), i, j, roots)
+            buckets = hashing.buckets(unit) if buckets is None else buckets
+            for earlier in range(hashing.tables):
+                new = (tab[i] <= earlier) | (buckets[i, earlier] != buckets[j, earlier])
+                i, j = i[new], j[new]
+            np.add.at(n, i, copies[j])
+            np.add.at(n, j, copies[i])
+        a, b = star_links(cls, roots)
+        some = np.flatnonzero(n)
+        columns = [
+            pa.array(np.concatenate([cls[some], a])),
+            pa.concat_arrays([pa.nulls(len(some), pa.int64()), pa.array(b)]),
+            pa.concat_arrays([pa.array(n[some]), pa.nulls(len(a), pa.int64())]),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["a", "b", "n"])
+
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in complete_groups(batches):
-            table = table.combine_chunks()
-            group, tab, side, cls, copies = (table.column(i).to_numpy() for i in range(5))
-            unit = normalised(matrix(table.column(5).combine_chunks()))
-            two = np.zeros(len(group), bool)  # units of two blocks compare across them only
-            starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
-            mixed = np.minimum.reduceat(side, starts) != np.maximum.reduceat(side, starts)
-            two = np.repeat(mixed, np.diff(np.append(starts, len(group))))
-            buckets, n, roots = None, np.zeros(len(group), np.int64), np.arange(len(group))
-            for i, j in close_pairs(unit, group, threshold):
-                i, j = (x[~two[i] | (side[i] != side[j])] for x in (i, j))
-                if not len(i):
-                    continue
-                roots = forest(len(group), i, j, roots)
-                buckets = hashing.buckets(unit) if buckets is None else buckets
-                for earlier in range(hashing.tables):
-                    new = (tab[i] <= earlier) | (buckets[i, earlier] != buckets[j, earlier])
-                    i, j = i[new], j[new]
-                np.add.at(n, i, copies[j])
-                np.add.at(n, j, copies[i])
-            a, b = star_links(cls, roots)
-            some = np.flatnonzero(n)
-            empty = pa.nulls(len(some), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([cls[some], a])),
-                    pa.concat_arrays([empty, pa.array(b)]),
-                    pa.concat_arrays([pa.array(n[some]), pa.nulls(len(a), pa.int64())]),
-                ],
-                ["a", "b", "n"],
-            )
+            widths = pc.list_value_length(table.column(5))
+            for width in pc.unique(widths).to_pylist():
+                yield compared(table.filter(pc.equal(widths, width)).combine_chunks())
 
     return written(grouped.mapInArrow(linked, "a long, b long, n long"), "vector-links")
 
