@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareflow.functions.times import seconds, whole_seconds
-from fareflow.operators.slices import HOT_ROWS, with_running
+from fareflow.operators.slices import with_running
 from fareflow.schemas import WATERMARK_DELAY_SEC
 
 OFFSETS_PER_SLICE = 1_000_000
@@ -19,7 +19,6 @@ def with_watermark_before(
     offset: str = "kafka_offset",
     event_ts: str = "event_ts",
     offsets_per_slice: int = OFFSETS_PER_SLICE,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``watermark``: newest event time that arrived earlier in the partition, less the delay.
 
@@ -28,7 +27,7 @@ def with_watermark_before(
     """
     slice_id = F.floor(F.col(offset) / offsets_per_slice).cast("long")
     rows = with_running(
-        events, [partition], [offset], slice_id, F.col(event_ts), "_newest", "max", False, hot_rows
+        events, [partition], [offset], slice_id, F.col(event_ts), "_newest", "max", False
     )
     return rows.withColumn("watermark", F.col("_newest") - seconds(delay_sec)).drop("_newest")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fareflow.functions.times import seconds, slice_of
 from fareflow.operators.late import OFFSETS_PER_SLICE
 from fareflow.operators.quantiles import exact_quantiles
-from fareflow.operators.slices import HOT_ROWS, number_islands, with_previous_row, with_running
+from fareflow.operators.slices import number_islands, with_previous_row, with_running
 from fareflow.schemas import LEGAL_NEXT, TERMINAL_TYPES, WATERMARK_DELAY_SEC
 
 
@@ -44,7 +44,6 @@ def sustained(
     for_sec: int,
     order: Sequence[str] | None = None,
     slice_sec: int = 3600,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Runs of consecutive breaching samples per key; ``firing`` once a run lasts ``for_sec``."""
     marked = samples.withColumn("breach", F.coalesce(breach, F.lit(False)))
@@ -56,7 +55,6 @@ def sustained(
         ["breach"],
         F.col("prev.breach") != F.col("breach"),
         "run",
-        hot_rows,
     )
     return (
         runs.where("breach")
@@ -90,11 +88,10 @@ def counter_rates(
     counter: str,
     window_sec: int,
     slice_sec: int = 3600,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Increase per second of a counter in fixed windows; a drop means it restarted at zero."""
     rows = with_previous_row(
-        samples, keys, [ts], slice_of(F.col(ts), slice_sec), [counter], hot_rows=hot_rows
+        samples, keys, [ts], slice_of(F.col(ts), slice_sec), [counter]
     )
     now, before = F.col(counter), F.col(f"prev.{counter}")
     step = F.when(before.isNull(), F.lit(0)).when(now >= before, now - before).otherwise(now)
@@ -125,7 +122,6 @@ def lifecycle_violations(
     events: DataFrame,
     arrival: str = "kafka_offset",
     offsets_per_slice: int = OFFSETS_PER_SLICE,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Events that break the lifecycle, judged against the ride's event before in arrival order."""
     rows = with_previous_row(
@@ -134,7 +130,6 @@ def lifecycle_violations(
         [arrival],
         F.floor(F.col(arrival) / offsets_per_slice).cast("long"),
         ["event_type", "event_ts"],
-        hot_rows=hot_rows,
     )
     edges = [f"{a}>{b}" for a, following in LEGAL_NEXT.items() for b in following]
     before, kind = F.col("prev.event_type"), F.col("event_type")
@@ -156,7 +151,6 @@ def imperfection_profile(
     malformed: Column,
     skew_sec: int = WATERMARK_DELAY_SEC,
     offsets_per_slice: int = OFFSETS_PER_SLICE,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Per source partition: repeats, reorderings within the skew, late, malformed, null drop-offs."""
     rows = with_running(
@@ -168,7 +162,6 @@ def imperfection_profile(
         "_newest",
         "max",
         inclusive=False,
-        hot_rows=hot_rows,
     )
     behind = F.unix_micros("_newest") - F.unix_micros("event_ts")
     skew = skew_sec * 1_000_000

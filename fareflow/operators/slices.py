@@ -1,10 +1,9 @@
 """Ordered per-key computations that survive a hot key.
 
-A plain ``Window.partitionBy(key).orderBy(ts)`` sends every row of a key to one task. Here the
-rows of hot keys are cut into slices (a time range or an offset range), windows run per
-(key, slice), and only one small summary row per slice crosses slice borders. Summaries are
-made for hot keys alone, with map-side partial aggregation. Other keys are one slice each and
-cost what the plain window costs, plus a count per key.
+A plain ``Window.partitionBy(key).orderBy(ts)`` sends every row of a key to one task. Here each key
+is cut into slices (a time range or an offset range): windows run per (key, slice), so a key spreads over as
+many tasks as it has slices, and only one small summary row per slice crosses slice borders. All keys
+take the same plan. The slice width is the caller's one choice: the hottest slice must fit one task.
 """
 
 from __future__ import annotations
@@ -15,10 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICE = "_slice"
-HOT = "_hot"
-HOT_ROWS = 100_000
-MOST_HOT_KEYS = 4096
+KEY, SLICE = "_key", "_slice"
+PLACE = [KEY, SLICE]
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -28,41 +25,25 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The keys with more than ``hot_rows`` rows, the biggest MOST_HOT_KEYS of them.
+def _sliced(df: DataFrame, keys: Sequence[str], slice_id: Column) -> DataFrame:
+    """The rows by key and slice, in the one exchange that all windows of the branch use.
 
-    A key left out has at most ``hot_rows`` rows or less than one in MOST_HOT_KEYS of all rows.
+    The key is a struct, which is not null even where its fields are, so plain equality joins it.
     """
-    n = F.count(F.lit(1)).alias("_n")
-    counted = df.groupBy(*keys).agg(n).where(F.col("_n") > hot_rows)
-    biggest = counted.orderBy(F.col("_n").desc(), *keys).limit(MOST_HOT_KEYS)
-    return biggest.select(*keys, F.lit(True).alias(HOT))
+    placed = df.withColumns({KEY: F.struct(*keys), SLICE: F.coalesce(slice_id.cast("long"), F.lit(0))})
+    return placed.repartition(*PLACE)
 
 
-def _sliced(df: DataFrame, keys: Sequence[str], slice_id: Column, hot: DataFrame) -> DataFrame:
-    """Mark the rows of hot keys and give them their slice; other rows are slice 0."""
-    # At most MOST_HOT_KEYS rows, so the broadcast is bounded.
-    marked = null_safe_join(df, F.broadcast(hot), keys, "left")
-    return marked.withColumn(SLICE, F.when(F.col(HOT), slice_id).otherwise(F.lit(0)).cast("long"))
+def _in_slice(order: Sequence[str]) -> Window:
+    return Window.partitionBy(*PLACE).orderBy(*order)
 
 
-def _add_previous(
-    sliced: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], out: str
-) -> DataFrame:
-    per_slice, picked = [*keys, SLICE], F.struct(*columns)
-    tails = sliced.where(HOT).groupBy(*per_slice).agg(
-        F.max_by(picked, F.struct(*order)).alias("_tail")
-    )
-    per_key = Window.partitionBy(*keys).orderBy(SLICE)
-    carried = tails.select(*per_slice, F.lag("_tail").over(per_key).alias("_carried")).where(
-        F.col("_carried").isNotNull()
-    )
-    in_slice = Window.partitionBy(*per_slice).orderBy(*order)
-    return (
-        null_safe_join(sliced, carried, per_slice, "left")
-        .withColumn(out, F.coalesce(F.lag(picked).over(in_slice), F.col("_carried")))
-        .drop("_carried")
-    )
+def _slices_before() -> Window:
+    return Window.partitionBy(KEY).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _slice_before() -> Window:
+    return Window.partitionBy(KEY).orderBy(SLICE)
 
 
 def with_previous_row(
@@ -72,14 +53,21 @@ def with_previous_row(
     slice_id: Column,
     columns: Sequence[str],
     out: str = "prev",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``out``: a struct of ``columns`` of the row before, per key in ``order``.
 
     ``slice_id`` must not decrease along ``order``. The struct is null on a key's first row.
     """
-    sliced = _sliced(df, keys, slice_id, hot_keys(df, keys, hot_rows))
-    return _add_previous(sliced, keys, order, columns, out).drop(SLICE, HOT)
+    picked = F.struct(*columns)
+    placed = df.withColumns({KEY: F.struct(*keys), SLICE: F.coalesce(slice_id.cast("long"), F.lit(0))})
+    tails = placed.groupBy(*PLACE).agg(F.max_by(picked, F.struct(*order)).alias("_tail"))
+    carried = tails.select(*PLACE, F.lag("_tail").over(_slice_before()).alias("_carried"))
+    return (
+        _sliced(df, keys, slice_id)
+        .join(carried, PLACE, "left")
+        .withColumn(out, F.coalesce(F.lag(picked).over(_in_slice(order)), F.col("_carried")))
+        .drop("_carried", *PLACE)
+    )
 
 
 def with_running(
@@ -91,25 +79,17 @@ def with_running(
     out: str,
     kind: str = "max",
     inclusive: bool = True,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``out``: running ``max`` or ``sum`` of ``value`` per key in ``order``.
 
     ``inclusive=False`` leaves the row itself out; the result is then null on the first row.
     """
     fold = {"max": F.max, "sum": F.sum}[kind]
-    per_slice = [*keys, SLICE]
-    sliced = _sliced(df, keys, slice_id, hot_keys(df, keys, hot_rows)).withColumn("_value", value)
-    totals = sliced.where(HOT).groupBy(*per_slice).agg(fold("_value").alias("_total"))
-    before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(*per_slice, fold("_total").over(before).alias("_carried")).where(
-        F.col("_carried").isNotNull()
-    )
-    in_slice = (
-        Window.partitionBy(*per_slice)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
-    )
+    valued = df.withColumn("_value", value)
+    placed = valued.withColumns({KEY: F.struct(*keys), SLICE: F.coalesce(slice_id.cast("long"), F.lit(0))})
+    totals = placed.groupBy(*PLACE).agg(fold("_value").alias("_total"))
+    carried = totals.select(*PLACE, fold("_total").over(_slices_before()).alias("_carried"))
+    until = Window.currentRow if inclusive else -1
     local, carry = F.col("_local"), F.col("_carried")
     if kind == "max":
         combined = F.greatest(local, carry)
@@ -119,10 +99,11 @@ def with_running(
             F.coalesce(local, F.lit(0)) + F.coalesce(carry, F.lit(0)),
         )
     return (
-        null_safe_join(sliced, carried, per_slice, "left")
-        .withColumn("_local", fold("_value").over(in_slice))
+        _sliced(valued, keys, slice_id)
+        .join(carried, PLACE, "left")
+        .withColumn("_local", fold("_value").over(_in_slice(order).rowsBetween(Window.unboundedPreceding, until)))
         .withColumn(out, combined)
-        .drop("_local", "_carried", "_value", SLICE, HOT)
+        .drop("_local", "_carried", "_value", *PLACE)
     )
 
 
@@ -134,36 +115,41 @@ def number_islands(
     carry: Sequence[str],
     starts_new: Column,
     out: str = "island",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Gaps and islands: number each key's runs 1, 2, … and flag the rows that open one.
 
-    ``starts_new`` is a condition over the row and ``prev`` (a struct of ``carry`` columns of
-    the row before). A key's first row always opens an island. Adds ``prev``, ``is_new``
+    ``starts_new`` is a condition over the row's ``order`` and ``carry`` columns and over ``prev`` (a struct of
+    the ``carry`` columns of the row before). A key's first row always opens an island. Adds ``prev``, ``is_new``
     (0/1) and ``out``.
+
+    Inside a slice every row but the first knows the row before it. A slice's summary is its first and last row
+    and how many islands the others open; along the key's summaries follow what comes before each slice and
+    how many islands were opened until then.
     """
-    per_slice = [*keys, SLICE]
-    hot = hot_keys(df, keys, hot_rows)
-    in_slice = Window.partitionBy(*per_slice).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    picked, opens = F.struct(*carry), F.when(F.col("prev").isNull() | starts_new, 1).otherwise(0)
+    needed = list(dict.fromkeys([*order, *carry]))
+    at = F.struct(*order)
+
+    narrow = _sliced(df.select(*dict.fromkeys([*keys, *needed])), keys, slice_id)
+    flagged = narrow.withColumn("prev", F.lag(picked).over(_in_slice(order)))
+    summaries = flagged.groupBy(*PLACE).agg(
+        F.min_by(F.struct(*needed), at).alias("_first"),
+        F.max_by(picked, at).alias("_tail"),
+        F.sum(F.when(F.col("prev").isNotNull(), opens).otherwise(0)).alias("_rest"),
     )
-
-    def flagged(sliced: DataFrame) -> DataFrame:
-        return _add_previous(sliced, keys, order, carry, "prev").withColumn(
-            "is_new", F.when(F.col("prev").isNull() | starts_new, 1).otherwise(0)
-        )
-
-    # Islands a hot key opened in the slices before, from the few columns the rule reads.
-    narrow = _sliced(df, keys, slice_id, hot).where(HOT)
-    narrow = narrow.select(*dict.fromkeys([*keys, SLICE, HOT, *order, *carry]))
-    opened = flagged(narrow).groupBy(*per_slice).agg(F.sum("is_new").alias("_opened"))
-    before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = opened.select(*per_slice, F.sum("_opened").over(before).alias("_base"))
-    rows = flagged(_sliced(df, keys, slice_id, hot)).withColumn(
-        "_local", F.sum("is_new").over(in_slice)
+    chained = summaries.withColumn("prev", F.lag("_tail").over(_slice_before()))
+    opened = chained.select(*PLACE, "prev", "_rest", "_first.*").withColumn("_opened", F.col("_rest") + opens)
+    before = opened.select(
+        *PLACE,
+        F.col("prev").alias("_carried"),
+        F.coalesce(F.sum("_opened").over(_slices_before()), F.lit(0)).alias("_base"),
     )
+    within = _in_slice(order)
     return (
-        null_safe_join(rows, offsets, per_slice, "left")
-        .withColumn(out, F.coalesce("_base", F.lit(0)) + F.col("_local"))
-        .drop("_base", "_local", SLICE, HOT)
+        _sliced(df, keys, slice_id)
+        .join(before, PLACE, "left")
+        .withColumn("prev", F.coalesce(F.lag(picked).over(within), F.col("_carried")))
+        .withColumn("is_new", opens)
+        .withColumn(out, F.col("_base") + F.sum("is_new").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .drop("_carried", "_base", *PLACE)
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -15,6 +14,7 @@ SETTINGS = {
     # Sessions of one key are merged on the map side before they are shuffled.
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
 }
+CHECKPOINTS = "spark.checkpoint.dir"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -44,14 +44,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for ``name`` under the cluster's shared checkpoint folder.
+    """A fresh folder for ``name`` in a place that all executors share.
 
-    The folder comes from ``spark.checkpoint.dir``. Only a local-mode session without
-    that setting falls back to a temporary folder, since no other machine reads it.
+    That is ``spark.checkpoint.dir``; a session that leaves it unset gets one in its warehouse, which a
+    cluster shares too.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get(CHECKPOINTS, None)
     if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        return tempfile.mkdtemp(prefix=f"fareflow-{name}-")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     return f"{shared.rstrip('/')}/fareflow/{name}-{uuid.uuid4().hex}"

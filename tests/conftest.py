@@ -7,12 +7,13 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from fareflow.session import local_session  # noqa: E402
+from fareflow.session import CHECKPOINTS, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, shuffle_partitions=4)
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("checkpoints"))
+    session = local_session(8, shuffle_partitions=4, **{CHECKPOINTS: shared})
     yield session
     session.stop()
 

@@ -9,6 +9,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from fareflow import checks
 
 duckdb = pytest.importorskip("duckdb")
 SF = "/root/testdata/sf0.001"
@@ -49,10 +50,10 @@ def test_every_sql_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(checks.oracle_sql()))
 def test_query_matches_sql(spark, con, name):
-    got = entry.queries()[name](spark, SF)
-    found = con.execute(entry.oracle_sql()[name])
+    got = checks.queries()[name](spark, SF)
+    found = con.execute(checks.oracle_sql()[name])
     columns = [d[0] for d in found.description]
     assert sorted(got.columns) == sorted(columns)
     assert normal(got.columns, map(tuple, got.collect())) == normal(columns, found.fetchall())

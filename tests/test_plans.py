@@ -8,7 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from fareflow import checks
 from fareflow.operators import latest, quantiles
 from fareflow.sources.derived import DriverTables
 
@@ -21,9 +21,9 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in sorted(entry.queries()) if not n.startswith(RUNS_AT_BUILD)])
+@pytest.mark.parametrize("name", [n for n in sorted(checks.queries()) if not n.startswith(RUNS_AT_BUILD)])
 def test_no_cross_join_and_no_single_task_window(spark, name):
-    text = plan(entry.queries()[name](spark, SF))
+    text = plan(checks.queries()[name](spark, SF))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     # A window without a partition pulls its input into one task. Two kinds may: the bins of a
     # quantile over everything, and the row-count history with one row per day.
@@ -37,13 +37,24 @@ def test_no_cross_join_and_no_single_task_window(spark, name):
 )
 def test_rows_are_spread_by_key_and_slice(spark, name):
     """Windows over rows partition by slice too; per-key windows see one row per slice only."""
-    text = plan(entry.queries()[name](spark, SF))
+    text = plan(checks.queries()[name](spark, SF))
     for line in re.findall(r"\+- Window \[.*", text):
         over_rows = "_tail" not in line and "_total" not in line and "_opened" not in line
         if over_rows:
             assert "_slice" in line.rsplit("], [", 2)[-2], line
 
 
+def test_shifts_take_two_scans_and_four_exchanges(spark):
+    """The plan as run: rows and slice summaries are exchanged by (key, slice), summaries by key, shifts at the end."""
+    found = checks.queries()["driver_shifts"](spark, SF)
+    found.collect()
+    text = plan(found)
+    final = text[: text.index("Initial Plan")] if "Initial Plan" in text else text
+    assert final.count("FileScan") <= 2
+    assert len(re.findall(r"(?<!Broadcast)(?<!Reused)Exchange hashpartitioning", final)) <= 4
+    assert "Limit" not in final
+
+
 def test_latest_rows_are_limited_before_the_shuffle(spark):
     t = DriverTables(spark, SF)
     text = plan(latest.latest_per_key(t.table("orders"), ["o_custkey"], "o_orderdate", "o_orderkey"))
@@ -52,7 +63,7 @@ def test_latest_rows_are_limited_before_the_shuffle(spark):
 
 
 def test_fold_shuffles_once(spark):
-    text = plan(entry.queries()["session_fold"](spark, SF))
+    text = plan(checks.queries()["session_fold"](spark, SF))
     assert text.count("Exchange hashpartitioning(ride_id") == 1
     assert text.count("Exchange hashpartitioning") == 1
 
@@ -66,7 +77,7 @@ def test_scan_reads_only_what_it_needs(spark):
 
 
 def test_lookback_bound_is_a_scalar_subquery(spark):
-    text = plan(entry.queries()["rides_per_minute"](spark, SF))
+    text = plan(checks.queries()["rides_per_minute"](spark, SF))
     assert "scalar-subquery" in text or "Subquery" in text
     assert "Join" not in text
 
