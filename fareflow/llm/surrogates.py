@@ -163,90 +163,141 @@ def text_parts(text: str) -> Column:
     return bound(F.when(F.instr(text, MARK) > 0, long_way).otherwise(marked), cut)
 
 
-def stream(key: str, *what: Column) -> Callable[[Column], Column]:
-    """Numbers 0 … 255 at positions 0, 1, …: a keyed hash of ``what``, and it again from position 32 on."""
+Draw = Callable[[Column | int], Column]
+
+
+def drawing(key: str, what: Sequence[Column], body: Callable[[Draw], Column]) -> Column:
+    """``body`` with numbers from 0 up for positions 0, 1, …: a keyed hash of ``what``, its 32 bytes over and over.
+
+    Each round adds one, so that a repeated character does not show the period.
+    """
     digest = F.sha2(F.concat_ws("\x1f", F.lit(key), *what), 256)
-    return lambda i: F.conv(F.substring(digest, 2 * (i % 32) + 1, 2), 16, 10).cast("int") + F.floor(i / 32).cast("int")
+    numbers = bound(
+        digest,
+        lambda d: F.transform(
+            F.sequence(F.lit(0), F.lit(31)), lambda i: F.conv(F.substring(d, 2 * i + 1, F.lit(2)), 16, 10).cast("int")
+        ),
+    )
+
+    def draws(known: Column) -> Draw:
+        return lambda i: F.get(known, (F.lit(i) if isinstance(i, int) else i) % 32) + F.floor(i / 32 if not isinstance(i, int) else F.lit(i // 32)).cast("int")
+
+    return bound(numbers, lambda known: body(draws(known)))
 
 
-def redrawn(chars: Column, drawn: Callable[[Column], Column]) -> Column:
+def redrawn(chars: Column, drawn: Draw) -> Column:
     """A string, each character replaced by another of its class and case."""
 
     def one(c: Column, i: Column) -> Column:
-        low, choice = F.lower(c), None
-        for letters, n in zip(CLASSES, DRAWN, strict=True):
-            found = F.substring(F.lit(letters), drawn(i) % n + 1, 1)
-            choice = F.when(F.instr(F.lit(letters), low) > 0, found) if choice is None else choice.when(F.instr(F.lit(letters), low) > 0, found)
-        return F.when((low != c), F.upper(choice)).otherwise(F.coalesce(choice, c))
+        def pick(low: Column, n: Column) -> Column:
+            choice = F.lit(None).cast("string")
+            for letters, size in reversed(list(zip(CLASSES, DRAWN, strict=True))):
+                found = F.substring(F.lit(letters), n % size + 1, F.lit(1))
+                choice = F.when(F.instr(F.lit(letters), low) > 0, found).otherwise(choice)
+            return F.coalesce(F.when(low != c, F.upper(choice)).otherwise(choice), c)
+
+        return bound(F.struct(F.lower(c).alias("low"), drawn(i).alias("n")), lambda x: pick(x["low"], x["n"]))
 
     return F.array_join(F.transform(F.split(chars, ""), one), "")
 
 
-def hex_redrawn(chars: Column, drawn: Callable[[Column], Column]) -> Column:
+def hex_redrawn(chars: Column, drawn: Draw) -> Column:
     def one(c: Column, i: Column) -> Column:
-        letter = F.substring(F.lit("abcdef"), drawn(i) % 6 + 1, 1)
+        letter = F.substring(F.lit("abcdef"), drawn(i) % 6 + 1, F.lit(1))
         return F.when(c.rlike("[0-9]"), (drawn(i) % 10).cast("string")).otherwise(letter)
 
     return F.array_join(F.transform(F.split(chars, ""), one), "")
 
 
-def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
-    """The replacement's canonical value, as drawn at an attempt."""
-    drawn = stream(key, kind, value, attempt.cast("string"))
-    more = F.greatest(F.lit(0), attempt - (DRAWS_IN_FORMAT - 1)).cast("int")
-    added = F.array_join(F.transform(F.sequence(F.lit(0), more), lambda i: F.when(i > 0, (drawn(i + 7) % 10).cast("string")).otherwise("")), "")
-    digits = redrawn(value, drawn)
-    # A card keeps its first digit; the last one is set so that the check rule holds.
-    body = F.concat(F.substring(value, 1, 1), F.substring(digits, 2, 99), added)
-    body = F.substring(body, F.lit(1), F.length(body) - 1)
-    check = (10 - luhn(F.concat(body, F.lit("0"))) % 10) % 10
+def extension(more: Column, drawn: Draw, of: str) -> Column:
+    """``more`` characters drawn from ``of``, for draws that outgrow the format."""
+    one = lambda i: F.when(i > 0, F.substring(F.lit(of), drawn(i + 7) % len(of) + 1, F.lit(1))).otherwise("")
+    return F.array_join(F.transform(F.sequence(F.lit(0), more), one), "")
+
+
+def card_number(value: Column, more: Column, drawn: Draw) -> Column:
+    """Another card number: the first digit stays, and the last one is set so that the check rule holds."""
+
+    def checked(body: Column) -> Column:
+        check = (10 - luhn(F.concat(body, F.lit("0"))) % 10) % 10
+        return F.concat(body, check.cast("string"))
+
+    rest = F.concat(F.substring(value, 1, 1), redrawn(F.substring(value, 2, 99), drawn), extension(more, drawn, CLASSES[0]))
+    return bound(bound(rest, lambda r: F.substring(r, F.lit(1), F.length(r) - 1)), checked)
+
+
+def email_address(value: Column, more: Column, drawn: Draw, key: str) -> Column:
+    """Another address. Its domain follows from the old domain alone, in a name space that nobody owns."""
     local, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
-    of_domain = stream(key, F.lit("domain"), domain)
     last = F.substring_index(domain, ".", -1)
     ending = F.when(last.isin("com", "net", "org"), F.concat(F.lit(".example."), last)).otherwise(".example")
-    email = F.concat(redrawn(local, drawn), added, F.lit("@"), redrawn(F.substring_index(domain, ".", 1), of_domain), ending)
-    octet = lambda i: (1 + (drawn(F.lit(2 * i)) * 256 + drawn(F.lit(2 * i + 1))) % 254).cast("string")
-    address = F.concat(F.concat_ws(".", *map(octet, range(4))), F.when(more > 0, F.concat(F.lit(":"), added)).otherwise(""))
-    secret = F.when(value.rlike("^[0-9a-f]+$"), hex_redrawn(value, drawn)).otherwise(
-        F.concat(F.substring(value, 1, 4), redrawn(F.substring(value, 5, 9999), drawn))
+    label = drawing(key, [F.lit("domain"), domain], lambda of_domain: redrawn(F.substring_index(domain, ".", 1), of_domain))
+    return F.concat(redrawn(local, drawn), extension(more, drawn, CLASSES[0]), F.lit("@"), label, ending)
+
+
+def ip_address(more: Column, drawn: Draw) -> Column:
+    octet = lambda i: (1 + (drawn(2 * i) * 256 + drawn(2 * i + 1)) % 254).cast("string")
+    port = F.when(more > 0, F.concat(F.lit(":"), extension(more, drawn, CLASSES[0]))).otherwise("")
+    return F.concat(F.concat_ws(".", *map(octet, range(4))), port)
+
+
+def first_name(kind: Column, value: Column, attempt: Column, drawn: Draw) -> Column:
+    """A listed name of the same gender and script; later draws make a name up in the old one's letters."""
+    listed = lambda names: F.array(*[F.lit(n.lower()) for n in names])
+    cyrillic = value.rlike(r"^\p{IsCyrillic}")
+    names = (
+        F.when((kind == FEMALE) & cyrillic, listed(FEMALE_CYRILLIC))
+        .when((kind == MALE) & cyrillic, listed(MALE_CYRILLIC))
+        .when(cyrillic, listed(FEMALE_CYRILLIC + MALE_CYRILLIC))
+        .when(kind == FEMALE, listed(FEMALE_LATIN))
+        .when(kind == MALE, listed(MALE_LATIN))
+        .otherwise(listed(FEMALE_LATIN + MALE_LATIN))
     )
+    from_list = bound(names, lambda n: F.get(n, (drawn(0) * 256 + drawn(1)) % F.size(n)))
+    return F.when((attempt < 3) & value.rlike(r"^[\p{IsLatin}\p{IsCyrillic}]"), from_list).otherwise(redrawn(value, drawn))
 
-    def first(latin: Sequence[str], cyrillic: Sequence[str]) -> Column:
-        names = F.when(value.rlike(r"^\p{IsCyrillic}"), F.array(*[F.lit(n.lower()) for n in cyrillic])).otherwise(
-            F.array(*[F.lit(n.lower()) for n in latin])
+
+def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
+    """The replacement's canonical value, as drawn at an attempt."""
+
+    def made(drawn: Draw) -> Column:
+        more = F.greatest(F.lit(0), attempt - (DRAWS_IN_FORMAT - 1)).cast("int")
+        secret = F.when(value.rlike("^[0-9a-f]+$"), hex_redrawn(value, drawn)).otherwise(
+            F.concat(F.substring(value, 1, 4), redrawn(F.substring(value, 5, 9999), drawn))
+        )
+        name = F.when(kind == SURNAME, redrawn(value, drawn)).otherwise(first_name(kind, value, attempt, drawn))
+        return (
+            F.when(kind == EMAIL, email_address(value, more, drawn, key))
+            .when(kind == CARD, card_number(value, more, drawn))
+            .when(kind == IP, ip_address(more, drawn))
+            .when(kind == SECRET, F.concat(secret, extension(more, drawn, CLASSES[0])))
+            .when(kind.isin(SSN, PHONE), F.concat(redrawn(value, drawn), extension(more, drawn, CLASSES[0])))
+            .otherwise(F.concat(name, extension(more, drawn, "aeiou")))
         )
-        listed = F.get(names, (drawn(F.lit(0)) * 256 + drawn(F.lit(1))) % F.size(names))
-        # The lists are short: later draws make a name up in the old one's script.
-        return F.when((attempt < 3) & value.rlike(r"^[\p{IsLatin}\p{IsCyrillic}]"), listed).otherwise(digits)
 
-    letters = F.array_join(F.transform(F.sequence(F.lit(0), more), lambda i: F.when(i > 0, F.substring(F.lit(CLASSES[1]), drawn(i + 7) % 5 + 1, 1)).otherwise("")), "")
-    return (
-        F.when(kind == EMAIL, email)
-        .when(kind == CARD, F.concat(body, check.cast("string")))
-        .when(kind == IP, address)
-        .when(kind == SECRET, F.concat(secret, added))
-        .when(kind.isin(SSN, PHONE), F.concat(digits, added))
-        .when(kind == FEMALE, F.concat(first(FEMALE_LATIN, FEMALE_CYRILLIC), letters))
-        .when(kind == MALE, F.concat(first(MALE_LATIN, MALE_CYRILLIC), letters))
-        .when(kind == NEUTRAL, F.concat(first(FEMALE_LATIN + MALE_LATIN, FEMALE_CYRILLIC + MALE_CYRILLIC), letters))
-        .otherwise(F.concat(digits, letters))
-    )
+    return drawing(key, [kind, value, attempt.cast("string")], made)
 
 
-def rendered(kind: Column, found: Column, shown: Column) -> Column:
+def rendered(kind: Column, made: Column, shown: Column) -> Column:
     """A replacement in the format of one mention: its separators, country code and case."""
-    gaps = F.split(shown, "[0-9]", -1)
-    old, new = digits_of(shown), found
-    all_digits = F.concat(F.substring(old, F.lit(1), F.greatest(F.lit(0), F.length(old) - F.length(new))), new)
-    n = F.length(old)
-    filled = F.array_join(F.transform(gaps, lambda g, i: F.when(i < n, F.concat(g, F.substring(all_digits, i + 1, 1))).otherwise(g)), "")
-    spaced = F.concat(filled, F.substring(all_digits, n + 1, 9999))
-    cased = (
-        F.when((shown == F.upper(shown)) & (shown != F.lower(shown)) & (F.length(shown) > 1), F.upper(found))
-        .when(F.substring(shown, 1, 1) != F.lower(F.substring(shown, 1, 1)), F.initcap(found))
-        .otherwise(found)
-    )
-    return F.when(kind.isin(CARD, SSN, PHONE), spaced).when((kind == SECRET) & ~found.rlike("^[0-9a-f]+$"), found).otherwise(cased)
+
+    def spaced(digits: Column) -> Column:
+        gaps = F.split(shown, "[0-9]", -1)
+        put = F.transform(gaps, lambda g, i: F.concat(g, F.substring(digits, i + 1, F.lit(1))))
+        return F.concat(F.array_join(put, ""), F.substring(digits, F.size(gaps) + 1, F.lit(9999)))
+
+    def shaped(found: Column) -> Column:
+        old = digits_of(shown)
+        kept = F.substring(old, F.lit(1), F.greatest(F.lit(0), F.length(old) - F.length(found)))
+        cased = (
+            F.when((shown == F.upper(shown)) & (shown != F.lower(shown)) & (F.length(shown) > 1), F.upper(found))
+            .when(F.substring(shown, 1, 1) != F.lower(F.substring(shown, 1, 1)), F.initcap(found))
+            .otherwise(found)
+        )
+        as_is = (kind == SECRET) & ~found.rlike("^[0-9a-f]+$")
+        return F.when(kind.isin(CARD, SSN, PHONE), spaced(F.concat(kept, found))).when(as_is, found).otherwise(cased)
+
+    return bound(made, shaped)
 
 
 def assign(entities: DataFrame, key: str) -> DataFrame:
