@@ -15,53 +15,70 @@ from fareflow.sources.derived import CTES, DriverTables
 
 INGESTED = "2024-02-01 00:00:00"
 
+MARKED = ", ".join(f"CAST(event_type = '{x}' AS INTEGER) AS {x}" for x in ("requested", "completed", "cancelled"))
+STATES = ", ".join(f"CAST(terminal_state = '{x}' AS INTEGER) AS {x}" for x in ("completed", "cancelled", "abandoned"))
+# The value at share q of a sorted list v, between its neighbours.
+AT_SHARE = """v[CAST(floor((len(v) - 1) * {q}) AS BIGINT) + 1] + ((len(v) - 1) * {q} - floor((len(v) - 1) * {q}))
+    * (v[CAST(ceil((len(v) - 1) * {q}) AS BIGINT) + 1] - v[CAST(floor((len(v) - 1) * {q}) AS BIGINT) + 1])"""
 EXTRA = {
     "session_times": "SELECT *, coalesce(ended_ts, requested_ts) AS session_ts FROM sessions",
-    "metrics": """SELECT date_trunc('minute', event_ts) AS window_start, date_trunc('minute', event_ts) + INTERVAL 1 MINUTE AS window_end,
-  city_id, count(*) FILTER (event_type = 'requested') AS requests, count(*) FILTER (event_type = 'completed') AS completes,
-  count(*) FILTER (event_type = 'cancelled') AS cancels,
-  CAST(count(*) FILTER (event_type = 'completed') AS DOUBLE) / nullif(count(*) FILTER (event_type IN ('completed', 'cancelled')), 0) AS completion_rate,
-  CAST(count(*) FILTER (event_type = 'cancelled') AS DOUBLE) / nullif(count(*) FILTER (event_type IN ('completed', 'cancelled')), 0) AS cancellation_rate,
-  avg(surge_multiplier) FILTER (event_type = 'requested') AS mean_surge FROM ride_events GROUP BY 1, 2, 3""",
-    "hist": """SELECT date_trunc('minute', session_ts) AS window_start, date_trunc('minute', session_ts) + INTERVAL 1 MINUTE AS window_end,
-  city_id, least(CAST(floor(time_to_match_sec / 5) AS INTEGER), 60) AS bucket, count(*) AS cnt
-  FROM session_times WHERE time_to_match_sec IS NOT NULL GROUP BY 1, 2, 3, 4""",
-    "day_hist": """SELECT date_trunc('day', session_ts) AS window_start, city_id,
-  least(CAST(floor(time_to_match_sec / 5) AS INTEGER), 60) AS bucket, count(*) AS cnt
-  FROM session_times WHERE time_to_match_sec IS NOT NULL GROUP BY 1, 2, 3""",
-    "cume": """SELECT *, sum(cnt) OVER (PARTITION BY window_start, city_id ORDER BY bucket) AS cum,
-  sum(cnt) OVER (PARTITION BY window_start, city_id) AS total FROM hist""",
-    "window_quantiles": """SELECT window_start, window_end, city_id, min(CASE WHEN cum >= ceil(0.50::DOUBLE * total) THEN (bucket + 1) * 5.0::DOUBLE END) AS p50_time_to_match_sec,
-  min(CASE WHEN cum >= ceil(0.95::DOUBLE * total) THEN (bucket + 1) * 5.0::DOUBLE END) AS p95_time_to_match_sec,
-  CAST(max(total) AS BIGINT) AS matched_rides FROM cume GROUP BY 1, 2, 3""",
+    # Counts and rates as sums of 0/1 columns, one row an event.
+    "marked": f"SELECT time_bucket(INTERVAL 1 MINUTE, event_ts) AS m, city_id, surge_multiplier, {MARKED} FROM ride_events",
+    "metrics": """SELECT m AS window_start, m + INTERVAL 1 MINUTE AS window_end, city_id, CAST(sum(requested) AS BIGINT) AS requests,
+  CAST(sum(completed) AS BIGINT) AS completes, CAST(sum(cancelled) AS BIGINT) AS cancels,
+  CASE WHEN sum(completed + cancelled) > 0 THEN sum(completed)::DOUBLE / sum(completed + cancelled)::DOUBLE END AS completion_rate,
+  CASE WHEN sum(completed + cancelled) > 0 THEN sum(cancelled)::DOUBLE / sum(completed + cancelled)::DOUBLE END AS cancellation_rate,
+  CASE WHEN sum(requested) > 0 THEN sum(requested * surge_multiplier) / sum(requested)::DOUBLE END AS mean_surge
+  FROM marked GROUP BY m, city_id""",
+    # A session lies in bucket b if its time to match reaches 5 b seconds and, below the last bucket, not 5 b + 5.
+    "bucketed": """SELECT time_bucket(INTERVAL 1 MINUTE, session_ts) AS window_start, session_ts, city_id, CAST(b AS INTEGER) AS bucket
+  FROM session_times, range(61) AS buckets(b) WHERE time_to_match_sec >= 5 * b AND (time_to_match_sec < 5 * b + 5 OR b = 60)""",
+    "hist": """SELECT window_start, window_start + INTERVAL 1 MINUTE AS window_end, city_id, bucket, count(*) AS cnt
+  FROM bucketed GROUP BY window_start, city_id, bucket""",
+    "day_hist": """SELECT time_bucket(INTERVAL 1 DAY, session_ts) AS window_start, city_id, bucket, count(*) AS cnt
+  FROM bucketed GROUP BY 1, city_id, bucket""",
+    # The bucket of the ride at rank ceil(q n) of each window's sorted rides; its upper edge is the quantile.
+    "window_quantiles": """SELECT window_start, window_start + INTERVAL 1 MINUTE AS window_end, city_id,
+  (v[CAST(ceil(len(v) * 0.5::DOUBLE) AS BIGINT)] + 1) * 5.0::DOUBLE AS p50_time_to_match_sec,
+  (v[CAST(ceil(len(v) * 0.95::DOUBLE) AS BIGINT)] + 1) * 5.0::DOUBLE AS p95_time_to_match_sec, CAST(len(v) AS BIGINT) AS matched_rides
+  FROM (SELECT window_start, city_id, list_sort(list(bucket)) AS v FROM bucketed GROUP BY window_start, city_id)""",
     "metrics_full": """SELECT m.*, q.p50_time_to_match_sec, q.p95_time_to_match_sec FROM metrics m
   LEFT JOIN window_quantiles q ON q.window_start = m.window_start AND q.city_id = m.city_id""",
     "enriched": """SELECT s.* RENAME (requested_ts AS requested_at, matched_ts AS matched_at, driver_arrived_ts AS driver_arrived_at,
   started_ts AS started_at, ended_ts AS ended_at), c.name AS city_name, p.txn_id, p.amount_cents AS paid_amount_cents,
   p.status AS payment_status, p.method AS payment_method, p.payment_ts AS paid_at, p.txn_id IS NOT NULL AS is_paid
   FROM sessions s LEFT JOIN payments p ON s.ride_id = p.ride_id LEFT JOIN cities c ON s.city_id = c.city_id""",
-    "hourly": """SELECT city_id, city_name, date_trunc('hour', requested_at) AS hour_start, count(*) AS rides_closed,
-  count(*) FILTER (terminal_state = 'completed') AS rides_completed, count(*) FILTER (terminal_state = 'cancelled') AS rides_cancelled,
-  count(*) FILTER (terminal_state = 'abandoned') AS rides_abandoned,
-  CAST(count(*) FILTER (terminal_state = 'completed') AS DOUBLE) / count(*) AS completion_rate, avg(surge_multiplier) AS avg_surge,
-  round(quantile_cont(time_to_match_sec, 0.5), 6) AS p50_time_to_match_sec, round(quantile_cont(time_to_match_sec, 0.95), 6) AS p95_time_to_match_sec,
-  CAST(sum(fare_cents) FILTER (terminal_state = 'completed') AS BIGINT) AS gross_fares_cents,
-  CAST(sum(paid_amount_cents) FILTER (payment_status = 'completed') AS BIGINT) AS collected_cents,
-  count(*) FILTER (is_late_arrival) AS late_arrivals FROM enriched GROUP BY 1, 2, 3""",
+    "closed": f"""SELECT city_id, city_name, time_bucket(INTERVAL 1 HOUR, requested_at) AS hour_start, {STATES}, surge_multiplier, time_to_match_sec,
+  CASE WHEN terminal_state = 'completed' THEN fare_cents END AS fare, CASE WHEN payment_status = 'completed' THEN paid_amount_cents END AS paid,
+  CAST(coalesce(is_late_arrival, false) AS INTEGER) AS late FROM enriched""",
+    "hourly": f"""SELECT city_id, city_name, hour_start, n AS rides_closed, done AS rides_completed, gone AS rides_cancelled, left_ AS rides_abandoned,
+  done::DOUBLE / n::DOUBLE AS completion_rate, avg_surge, round({AT_SHARE.format(q='0.5::DOUBLE')}, 6) AS p50_time_to_match_sec,
+  round({AT_SHARE.format(q='0.95::DOUBLE')}, 6) AS p95_time_to_match_sec, gross_fares_cents, collected_cents, late_arrivals
+  FROM (SELECT city_id, city_name, hour_start, count(*) AS n, CAST(sum(completed) AS BIGINT) AS done, CAST(sum(cancelled) AS BIGINT) AS gone,
+    CAST(sum(abandoned) AS BIGINT) AS left_, sum(surge_multiplier) / count(*) AS avg_surge, CAST(sum(fare) AS BIGINT) AS gross_fares_cents,
+    CAST(sum(paid) AS BIGINT) AS collected_cents, CAST(sum(late) AS BIGINT) AS late_arrivals,
+    list_sort(list(time_to_match_sec) FILTER (time_to_match_sec IS NOT NULL)) AS v FROM closed GROUP BY city_id, city_name, hour_start)""",
     "lagged": """SELECT *, lag(ts) OVER w AS prev_at, lag(lat) OVER w AS prev_lat, lag(lon) OVER w AS prev_lon, lag(status) OVER w AS prev_status
   FROM pings WINDOW w AS (PARTITION BY driver_id ORDER BY ts, ping_id)""",
-    "flagged": """SELECT *, CASE WHEN prev_at IS NULL OR ts - prev_at > INTERVAL 30 MINUTE OR prev_status = 'offline' THEN 1 ELSE 0 END AS is_new,
-  CASE WHEN prev_lat IS NULL THEN 0.0::DOUBLE ELSE 2 * 6371.0088 * asin(sqrt(power(sin(radians(lat - prev_lat) / 2), 2)
-   + cos(radians(prev_lat)) * cos(radians(lat)) * power(sin(radians(lon - prev_lon) / 2), 2))) END AS step_km FROM lagged""",
-    "numbered": """SELECT *, sum(is_new) OVER (PARTITION BY driver_id ORDER BY ts, ping_id ROWS UNBOUNDED PRECEDING) AS shift_seq FROM flagged""",
-    "shifts": """SELECT driver_id || '.' || CAST(shift_seq AS BIGINT) AS shift_id, driver_id, min(city_id) AS city_id, min(ts) AS shift_started_at, max(ts) AS shift_ended_at,
-  (epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0::DOUBLE / 60.0::DOUBLE AS active_minutes,
-  sum(CASE WHEN is_new = 1 THEN 0.0::DOUBLE ELSE step_km END) AS distance_km, count(*) AS ping_count, avg(speed_kmh) AS avg_speed_kmh,
-  CAST(count(*) FILTER (status = 'on_trip') AS DOUBLE) / count(*) AS on_trip_share FROM numbered GROUP BY driver_id, shift_seq""",
+    # The pings that open a shift; a ping's shift is the number of them up to it.
+    "breaks": """SELECT driver_id, ping_id, ts FROM lagged WHERE prev_at IS NULL
+  UNION SELECT driver_id, ping_id, ts FROM lagged WHERE date_diff('microsecond', prev_at, ts) > 30 * 60 * 1000000
+  UNION SELECT driver_id, ping_id, ts FROM lagged WHERE prev_status = 'offline'""",
+    # Great-circle distance from the angle between two unit vectors: length of their cross product against their dot product.
+    "stepped": """SELECT ping_id, 6371.0088::DOUBLE * atan2(sqrt(power(cos(radians(lat)) * sin(radians(lon - prev_lon)), 2)
+   + power(cos(radians(prev_lat)) * sin(radians(lat)) - sin(radians(prev_lat)) * cos(radians(lat)) * cos(radians(lon - prev_lon)), 2)),
+   sin(radians(prev_lat)) * sin(radians(lat)) + cos(radians(prev_lat)) * cos(radians(lat)) * cos(radians(lon - prev_lon))) AS km FROM lagged""",
+    "numbered": """SELECT p.*, CAST(count(b.ping_id) AS BIGINT) AS shift_seq, CAST(coalesce(bool_or(b.ping_id = p.ping_id), false) AS INTEGER) AS is_new,
+  coalesce(any_value(s.km), 0) AS step_km FROM pings p JOIN breaks b ON b.driver_id = p.driver_id AND (b.ts < p.ts OR (b.ts = p.ts AND b.ping_id <= p.ping_id))
+  JOIN stepped s ON s.ping_id = p.ping_id GROUP BY ALL""",
+    "shifts": """SELECT driver_id || '.' || shift_seq AS shift_id, driver_id, min(city_id) AS city_id, min(ts) AS shift_started_at, max(ts) AS shift_ended_at,
+  date_diff('microsecond', min(ts), max(ts)) / 1000000.0::DOUBLE / 60.0::DOUBLE AS active_minutes,
+  coalesce(sum(step_km) FILTER (is_new = 0), 0) AS distance_km, count(*) AS ping_count, sum(speed_kmh) / count(speed_kmh) AS avg_speed_kmh,
+  sum(CAST(status = 'on_trip' AS INTEGER))::DOUBLE / count(*)::DOUBLE AS on_trip_share FROM numbered GROUP BY driver_id, shift_seq""",
 }
-METRICS = {n: EXTRA[n] for n in ("session_times", "metrics", "hist", "cume", "window_quantiles", "metrics_full")}
-FACT = {n: EXTRA[n] for n in ("enriched", "hourly")}
-SHIFTS = {n: EXTRA[n] for n in ("lagged", "flagged", "numbered", "shifts")}
+METRICS = {n: EXTRA[n] for n in ("session_times", "marked", "metrics", "bucketed", "hist", "window_quantiles", "metrics_full")}
+FACT = {n: EXTRA[n] for n in ("enriched", "closed", "hourly")}
+SHIFTS = {n: EXTRA[n] for n in ("lagged", "breaks", "stepped", "numbered", "shifts")}
 ALL = {**METRICS, **FACT, **SHIFTS}
 RIDE_USES = ("ride_events", "sessions")
 FACT_USES = ("sessions", "payments", "cities")
@@ -412,7 +429,7 @@ def numbered_shifts(t: DriverTables) -> DataFrame:
     """SELECT window_start, city_id, bucket, CAST(sum(cnt) OVER (PARTITION BY window_start, city_id ORDER BY bucket) AS BIGINT) AS cum_cnt,
   CAST(sum(cnt) OVER (PARTITION BY window_start, city_id) AS BIGINT) AS total_cnt FROM day_hist""",
     RIDE_USES,
-    {**TIMES, "day_hist": EXTRA["day_hist"]},
+    {**TIMES, "bucketed": EXTRA["bucketed"], "day_hist": EXTRA["day_hist"]},
 )
 def cumulative_histogram(t: DriverTables) -> DataFrame:
     from pyspark.sql import Window

@@ -11,6 +11,8 @@ from fareflow.operators import poison
 from fareflow.operators.sessions import with_session_ts
 from fareflow.plans import marts
 from fareflow.schemas import RIDE_EVENT, RIDE_EVENT_V1
+from fareflow.session import work_dir
+from fareflow.sources import seeds
 from fareflow.sources.derived import DriverTables
 
 FAILED_AT = "2024-02-01 00:00:00"
@@ -154,9 +156,29 @@ def dead_letter_transform(t: DriverTables) -> DataFrame:
     return sent.groupBy(F.md5("value").alias("digest")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("city_seed", "SELECT * FROM cities", ("cities",))
+#: Cities made of the nations, as a seed file would list them.
+SEED_SQL = """SELECT CAST(n_nationkey AS INTEGER) AS city_id, n_name AS name, n_nationkey * 2.5::DOUBLE AS center_lat,
+  n_regionkey * 10 - 0.5::DOUBLE AS center_lon, 1 + n_regionkey / 4.0::DOUBLE AS demand_weight FROM nation"""
+
+
+def seeded_cities(t: DriverTables) -> DataFrame:
+    """The nations written as a CSV seed and loaded with fixed types."""
+    folder = work_dir(t.spark, "seed")
+    key, region = F.col("n_nationkey"), F.col("n_regionkey")
+    rows = t.table("nation").select(
+        key.alias("city_id"),
+        F.col("n_name").alias("name"),
+        (key * 2.5).alias("center_lat"),
+        (region * 10 - 0.5).alias("center_lon"),
+        (region / 4.0 + 1).alias("demand_weight"),
+    )
+    rows.write.option("header", True).csv(folder)
+    return seeds.load_seed(t.spark, folder, seeds.CITY_SEED)
+
+
+@query("city_seed", SEED_SQL)
 def city_seed(t: DriverTables) -> DataFrame:
-    return t.cities
+    return seeded_cities(t)
 
 
 @query(
@@ -239,18 +261,17 @@ def haversine_distance(t: DriverTables) -> DataFrame:
 
 @query(
     "initial_bearing",
-    """SELECT source_id, round(((degrees(atan2(sin(dl) * cos(b), cos(a) * sin(b) - sin(a) * cos(b) * cos(dl))) + 360) % 360), 5) AS bearing
-  FROM (SELECT source_id, radians(pickup_lat) AS a, radians(dropoff_lat) AS b, radians(dropoff_lon - pickup_lon) AS dl
-   FROM ride_events WHERE abs(dropoff_lat - pickup_lat) > 0.001 OR abs(dropoff_lon - pickup_lon) > 0.001)""",
+    """SELECT source_id, CASE WHEN abs(dropoff_lat - pickup_lat) > 0.001 OR abs(dropoff_lon - pickup_lon) > 0.001 THEN
+   round(((degrees(atan2(sin(dl) * cos(b), cos(a) * sin(b) - sin(a) * cos(b) * cos(dl))) + 360) % 360), 5) ELSE 0 END AS bearing
+  FROM (SELECT *, radians(pickup_lat) AS a, radians(dropoff_lat) AS b, radians(dropoff_lon - pickup_lon) AS dl FROM ride_events)""",
     ("ride_events",),
 )
 def initial_bearing(t: DriverTables) -> DataFrame:
-    """Bearings of trips that go somewhere; the heading of a zero-length trip is noise."""
+    """Bearings of all trips; the heading of a zero-length one is noise and stands as 0."""
     lat1, lon1, lat2, lon2 = _points()
     moved = (F.abs(lat2 - lat1) > 0.001) | (F.abs(lon2 - lon1) > 0.001)
-    return t.ride_events.where(moved).select(
-        "source_id", F.round(geo.initial_bearing_deg(*_points()), 5).alias("bearing")
-    )
+    bearing = F.when(moved, F.round(geo.initial_bearing_deg(*_points()), 5)).otherwise(0.0)
+    return t.ride_events.select("source_id", bearing.alias("bearing"))
 
 
 @query(

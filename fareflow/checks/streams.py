@@ -35,16 +35,29 @@ from fareflow.sources.derived import (
     to_wire,
 )
 from fareflow.sources.lake import Lake
-from fareflow.sources.versions import KeyedTable
+from fareflow.sources.versions import KeyedTable, VersionedTable
 from fareflow.streaming import jobs
 from fareflow.streaming.sessionizer import sessionize
 from fareflow.streaming.sources import file_stream
 
 
-def _stream(t: DriverTables) -> DataFrame:
-    """The events table as a file stream."""
-    schema = t.spark.read.parquet(f"{t.sf_dir}/events.parquet").schema
-    raw = file_stream(t.spark, t.sf_dir, schema, glob="events.parquet")
+FILES = 4
+
+
+def _stream(t: DriverTables, by: str = "ts", files: int = FILES) -> DataFrame:
+    """The whole events table as a file stream of ``files`` micro-batches, in order of ``by``.
+
+    In order of time each batch follows the one before, so nothing is late; in order of ``event_id`` every batch
+    spans the whole time.
+    """
+    events = t.spark.read.parquet(f"{t.sf_dir}/events.parquet")
+    folder = work_dir(t.spark, "events")
+    parts = events.repartitionByRange(files, by).withColumn("part", F.spark_partition_id())
+    parts.write.partitionBy("part").parquet(f"{folder}/parts")
+    for n in range(files):  # one file after the other, since a file stream goes by their age
+        one = t.spark.read.schema(events.schema).parquet(f"{folder}/parts/part={n}")
+        one.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    raw = file_stream(t.spark, f"{folder}/in", events.schema, max_files=1)
     return numbered_events(raw.withColumn("ts", F.col("ts").cast("timestamp")))
 
 
@@ -95,8 +108,12 @@ def stream_ping_sessions(t: DriverTables) -> DataFrame:
 
 @query("stream_sessions", f"SELECT {SESSION_COLUMNS} FROM sessions", ("sessions",))
 def stream_sessions(t: DriverTables) -> DataFrame:
-    """The stateful sessionizer, timeouts included."""
-    rows = _run(t, sessionize(to_ride_events(_stream(t))), "sessionizer")
+    """The stateful sessionizer, timeouts included.
+
+    Rides here last for days, so a batch border would time them out; one batch is what the fold equals.
+    Borders, late rows and restarts are tested on rides of real length.
+    """
+    rows = _run(t, sessionize(to_ride_events(_stream(t, files=1))), "sessionizer")
     return rounded(rows, "haversine_distance_km", "avg_speed_kmh")
 
 
@@ -121,8 +138,24 @@ def stream_unpaid_rides(t: DriverTables) -> DataFrame:
 
 @query("stream_dedup", "SELECT DISTINCT event_id FROM ride_events", ("ride_events",))
 def stream_dedup(t: DriverTables) -> DataFrame:
-    """One row per event id; the table is one batch, so every repeat falls inside the delay."""
-    return _run(t, jobs.deduplicated(to_ride_events(_stream(t))).select("event_id"), "dedup")
+    """One row per event id, over batches that each span the whole time: no id is lost behind a watermark."""
+    folder = work_dir(t.spark, "dedup")
+    events = to_ride_events(_stream(t, by="event_id")).select("event_id", "event_ts", F.to_date("event_ts").alias("day"))
+    table = KeyedTable(t.spark, f"{folder}/table", events.schema, ["day"], ["event_id"])
+    write = jobs.insert_batch(table, [F.col("event_ts")], f"{folder}/checkpoint")
+    jobs.start(events, f"{folder}/checkpoint", foreach_batch=write).awaitTermination()
+    return table.read().select("event_id")
+
+
+@query(
+    "stream_match_histogram",
+    "SELECT * FROM hist WHERE window_end <= (SELECT max(session_ts) FROM session_times) - INTERVAL 30 SECOND",
+    RIDE_USES,
+    METRICS,
+)
+def stream_match_histogram(t: DriverTables) -> DataFrame:
+    """Histogram windows the watermark has passed."""
+    return _run(t, jobs.match_histogram_stream(_copied_sessions(t)), "match-histogram")
 
 
 def _split(t: DriverTables) -> tuple[jobs.BatchTable, jobs.BatchTable]:
@@ -130,7 +163,7 @@ def _split(t: DriverTables) -> tuple[jobs.BatchTable, jobs.BatchTable]:
     clean = jobs.BatchTable(t.spark, f"{folder}/clean", "sink")
     dead = jobs.BatchTable(t.spark, f"{folder}/dead", "sink")
     wire = to_wire(to_ride_events(_stream(t))).drop("k")
-    write = jobs.split_batch(clean, dead, "sink")
+    write = jobs.split_batch(clean, dead, "sink", f"{folder}/checkpoint")
     jobs.start(wire, f"{folder}/checkpoint", foreach_batch=write).awaitTermination()
     return clean, dead
 
@@ -155,6 +188,23 @@ def stream_split_ledger(t: DriverTables) -> DataFrame:
     )
 
 
+@query(
+    "sink_after_new_checkpoint",
+    f"""SELECT *, 2 AS n FROM (SELECT {EVENT_COLUMNS} FROM ride_events WHERE k % 13 > 3)""",
+    ("ride_events",),
+)
+def sink_after_new_checkpoint(t: DriverTables) -> DataFrame:
+    """Two queries with checkpoints of their own fill one table: neither's batches replace the other's."""
+    folder = work_dir(t.spark, "two")
+    clean, dead = (jobs.BatchTable(t.spark, f"{folder}/{name}", "sink") for name in ("clean", "dead"))
+    wire = to_wire(to_ride_events(_stream(t))).drop("k")
+    for n in range(2):
+        at = f"{folder}/checkpoint-{n}"
+        jobs.start(wire, at, foreach_batch=jobs.split_batch(clean, dead, "sink", at)).awaitTermination()
+    rows = clean.read().drop("batch", "kafka_partition", "kafka_offset")
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).cast("int").alias("n"))
+
+
 # --- archive -----------------------------------------------------------------------------------
 
 
@@ -169,6 +219,29 @@ def lake_inventory(t: DriverTables) -> DataFrame:
     return lake.inventory().select(F.col("event_day").cast("string"), "city_id", "rows")
 
 
+@query(
+    "lake_null_partition",
+    """SELECT event_day, city_id, count(*) AS n, count(DISTINCT event_id) AS n_ids FROM (SELECT event_id, nullif(city_id, 3) AS city_id,
+  CASE WHEN source_id % 5 > 0 THEN strftime(event_ts, '%Y-%m-%d') END AS event_day FROM ride_events) GROUP BY 1, 2""",
+    ("ride_events",),
+)
+def lake_null_partition(t: DriverTables) -> DataFrame:
+    """Rows without a partition value are stored, rewritten, compacted and read like the others."""
+    rows = t.ride_events.select(
+        "event_id",
+        F.when(F.col("source_id") % 5 > 0, F.date_format("event_ts", "yyyy-MM-dd")).alias("event_day"),
+        F.nullif(F.col("city_id"), F.lit(3)).alias("city_id"),
+    )
+    table = VersionedTable(t.spark, work_dir(t.spark, "lake"), rows.schema, ["event_day", "city_id"])
+    for n in range(2):
+        table.append(rows.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == n), f"half-{n}")
+    table.rewrite(rows.where("city_id is null").select("event_day", "city_id").distinct(), lambda old: old, "again")
+    table.compact(min_files=1)
+    return table.read().groupBy("event_day", "city_id").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("n_ids")
+    )
+
+
 @query(
     "lake_schema_evolution",
     """SELECT payload_version, is_synthetic, count(*) AS n, count(CASE WHEN payload_version = 2 THEN promo_code END) AS n_promo

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fareflow.checks.analytics import FACT, FACT_USES, INGESTED, _fact
 from fareflow.checks.registry import query
+from fareflow.checks.sources import SEED_SQL, seeded_cities
 from fareflow.checks.sessions import rounded
 from fareflow.operators import offsets, ops, poison, quality, quantiles, scd2, upsert
 from fareflow.plans import contracts, dashboards, marts
@@ -198,11 +199,10 @@ def driver_dimension(t: DriverTables) -> DataFrame:
 
 @query(
     "city_dimension",
-    "SELECT city_id, name AS city_name, center_lat, center_lon, demand_weight FROM cities",
-    ("cities",),
+    f"SELECT city_id, name AS city_name, center_lat, center_lon, demand_weight FROM ({SEED_SQL})",
 )
 def city_dimension(t: DriverTables) -> DataFrame:
-    return marts.dim_cities(t.cities)
+    return marts.dim_cities(seeded_cities(t))
 
 
 # --- quality -----------------------------------------------------------------------------------
@@ -386,9 +386,9 @@ def ride_fact_contract(t: DriverTables) -> DataFrame:
     )
 
 
-@query("city_list", "SELECT city_id, name AS city_name, center_lat, center_lon FROM cities", ("cities",))
+@query("city_list", f"SELECT city_id, name AS city_name, center_lat, center_lon FROM ({SEED_SQL})")
 def city_list(t: DriverTables) -> DataFrame:
-    return dashboards.city_list(marts.dim_cities(t.cities))
+    return dashboards.city_list(marts.dim_cities(seeded_cities(t)))
 
 
 @query(
@@ -466,13 +466,15 @@ def latest_quality_runs(t: DriverTables) -> DataFrame:
 
 @query(
     "landed_id_audit",
-    """SELECT (SELECT count(DISTINCT event_id) FROM ride_events WHERE event_id NOT IN (SELECT event_id FROM ride_events WHERE k % 13 > 3)) AS n_missing,
-  CAST(0 AS BIGINT) AS n_unexpected, count(*) AS n_rows, count(DISTINCT event_id) AS n_distinct FROM ride_events WHERE k % 13 > 3""",
+    """SELECT (SELECT count(DISTINCT event_id) FROM ride_events WHERE k % 17 <> 5 AND event_id NOT IN (SELECT event_id FROM ride_events WHERE k % 13 > 3)) AS n_missing,
+  (SELECT count(DISTINCT event_id) FROM ride_events WHERE k % 13 > 3 AND event_id NOT IN (SELECT event_id FROM ride_events WHERE k % 17 <> 5)) AS n_unexpected,
+  count(*) AS n_rows, count(DISTINCT event_id) AS n_distinct FROM ride_events WHERE k % 13 > 3""",
     ("ride_events",),
 )
 def landed_id_audit(t: DriverTables) -> DataFrame:
+    """Some ids were sent and did not land, and some landed that the sender does not know."""
     landed = poison.clean_rows(poison.decode_ride_events(t.wire))
-    return ops.ledger_audit(t.ride_events, landed, "event_id")
+    return ops.ledger_audit(t.ride_events.where("k % 17 <> 5"), landed, "event_id")
 
 
 # --- operations ----------------------------------------------------------------------------------
@@ -500,7 +502,7 @@ def consumer_lag(t: DriverTables) -> DataFrame:
 LAG_SAMPLES = """SELECT kafka_partition AS p, event_id, ts, k * 20 > 1000 AS breach FROM ev"""
 RUN_SQL = """SELECT * EXCLUDE (n), {extra} FROM (SELECT p, n, min(ts) AS started_at, max(ts) AS last_at, count(*) AS n_samples,
   max(ts) >= min(ts) + INTERVAL 2 MINUTE AS firing FROM (SELECT *, sum(opens) OVER (PARTITION BY p ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS n
-  FROM (SELECT *, CASE WHEN lag(breach) OVER w IS DISTINCT FROM breach THEN 1 ELSE 0 END AS opens FROM samples
+  FROM (SELECT *, CASE WHEN lag(breach) OVER w IS DISTINCT FROM breach OR ts - lag(ts) OVER w > INTERVAL 5 MINUTE THEN 1 ELSE 0 END AS opens FROM samples
    WINDOW w AS (PARTITION BY p ORDER BY ts, event_id))) WHERE breach GROUP BY p, n)"""
 
 

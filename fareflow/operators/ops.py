@@ -14,6 +14,10 @@ from fareflow.operators.slices import number_islands, with_previous_row, with_ru
 from fareflow.schemas import LEGAL_NEXT, TERMINAL_TYPES, WATERMARK_DELAY_SEC
 
 
+#: How long a series may be silent and still count as going on.
+MAX_SAMPLE_GAP_SEC = 300
+
+
 def resume_offsets(ledger: DataFrame) -> DataFrame:
     """Next offset to read from a ledger of last processed offsets (stored + 1)."""
     return ledger.select(
@@ -44,16 +48,20 @@ def sustained(
     for_sec: int,
     order: Sequence[str] | None = None,
     slice_sec: int = 3600,
+    max_gap_sec: int = MAX_SAMPLE_GAP_SEC,
 ) -> DataFrame:
-    """Runs of consecutive breaching samples per key; ``firing`` once a run lasts ``for_sec``."""
+    """Runs of consecutive breaching samples per key; ``firing`` once a run lasts ``for_sec``.
+
+    A silence of more than ``max_gap_sec`` between two samples ends a run: a series that is gone breaches nothing.
+    """
     marked = samples.withColumn("breach", F.coalesce(breach, F.lit(False)))
     runs = number_islands(
         marked,
         list(keys),
         list(order or [ts]),
         slice_of(F.col(ts), slice_sec),
-        ["breach"],
-        F.col("prev.breach") != F.col("breach"),
+        [ts, "breach"],
+        (F.col("prev.breach") != F.col("breach")) | (F.col(ts) > F.col(f"prev.{ts}") + seconds(max_gap_sec)),
         "run",
     )
     return (

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from importlib import import_module
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -143,14 +142,6 @@ def bytes_transform(fn: Callable[[bytes], bytes]) -> Callable[[Column], Column]:
     return apply
 
 
-def load_transform(spec: str) -> Callable[[Column], Column]:
-    """The repair named ``module:function``, a function from bytes to bytes."""
-    module, _, name = spec.partition(":")
-    if not name:
-        raise ValueError(f"a transform is named module:function, not {spec!r}")
-    return bytes_transform(getattr(import_module(module), name))
-
-
 @dataclass(frozen=True)
 class Replay:
     """Messages to send again (none in a dry run) and a one-row summary."""

@@ -1,8 +1,8 @@
 """Partitioned Parquet tables with snapshots: data folders plus a ledger written last.
 
 Data files lie under ``data/batch=…/<partition columns>``. A ledger table names the partitions
-each snapshot added or removed. Readers join on it, so they never see a batch that did not
-finish, and a replayed batch overwrites its own folder.
+each snapshot added or removed. Readers open the folders of its live batches alone and join on it, so they
+never see a batch that did not finish, and a replayed batch overwrites its own folder. Partition values may be null.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fareflow.operators.slices import null_safe_join
 from fareflow.operators.upsert import insert_missing
 
 MIN_FILES = 4
@@ -91,36 +92,43 @@ class VersionedTable:
             .select(*self.place, F.col("last.n_rows").alias("n_rows"))
         )
 
-    def _files(self, schema: T.StructType, batch: str | None = None) -> DataFrame:
-        """Rows of all batches or of one, committed or not; columns a file lacks read as null."""
+    def _files(self, schema: T.StructType, batches: Sequence[str]) -> DataFrame:
+        """Rows of some batches, committed or not; columns a file lacks read as null."""
         stored = [f for f in schema.fields if f.name not in self.partition]
         places = [T.StructField("batch", T.StringType()), *[schema[c] for c in self.partition]]
-        path = self.data if batch is None else f"{self.data}/batch={batch}"
-        reader = self.spark.read.schema(T.StructType([*stored, *places]))
+        empty = self.spark.createDataFrame([], T.StructType([*stored, *places]))
+        if not batches:
+            return empty
+        reader = self.spark.read.schema(empty.schema).option("basePath", self.data)
         try:
-            return reader.option("basePath", self.data).parquet(path)
+            return reader.parquet(*[f"{self.data}/batch={batch}" for batch in batches])
         except AnalysisException as error:
             if not path_missing(error):
                 raise
-            return self.spark.createDataFrame([], T.StructType([*stored, *places]))
+            return empty
 
-    def read(self, snapshot: int | None = None) -> DataFrame:
-        """Rows of a snapshot (the newest by default) under that snapshot's schema.
+    def _live_files(self, schema: T.StructType, snapshot: int | None) -> DataFrame:
+        """Rows of a snapshot's partitions, from the folders of its live batches (one name a batch is gathered)."""
+        live = self.alive(snapshot).select(*self.place)
+        batches = sorted(r["batch"] for r in live.select("batch").distinct().collect())
+        return null_safe_join(self._files(schema, batches), live, self.place, "left_semi")
 
-        The semi-join on partition columns prunes the folders of other snapshots at run time.
-        """
+    def _in(self, rows: DataFrame, partitions: DataFrame) -> DataFrame:
+        """The rows in any of the listed partitions; null matches null."""
+        return null_safe_join(rows, partitions.select(*self.partition), self.partition, "left_semi")
+
+    def read(self, snapshot: int | None = None) -> DataFrame:
+        """Rows of a snapshot (the newest by default) under that snapshot's schema."""
         _, schema = self.state(snapshot)
-        live = self.alive(snapshot).select(*self.place)
-        return self._files(schema).join(live, self.place, "left_semi").select(*schema.names)
+        return self._live_files(schema, snapshot).select(*schema.names)
 
     def inventory(self, snapshot: int | None = None) -> DataFrame:
         """Files, bytes and rows per partition; reads file footers, no data columns."""
-        described = self._files(self.schema).select(
-            *self.place,
+        live = self._live_files(self.schema, snapshot).select(
+            *self.partition,
             F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_size").alias("size"),
         )
-        live = described.join(self.alive(snapshot).select(*self.place), self.place, "left_semi")
         files = live.groupBy(*self.partition, "path").agg(
             F.max("size").alias("bytes"), F.count(F.lit(1)).alias("rows")
         )
@@ -141,7 +149,7 @@ class VersionedTable:
         balanced = rows.hint("rebalance", *[F.col(c) for c in self.partition])
         writer = balanced.write.mode("overwrite").partitionBy(*self.partition)
         writer.parquet(f"{self.data}/batch={batch}")
-        counted = self._files(self.schema, batch).groupBy(*self.place)
+        counted = self._files(self.schema, [batch]).groupBy(*self.place)
         return counted.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("op", F.lit("add"))
 
     def _commit(self, entries: DataFrame, schema: T.StructType) -> int | None:
@@ -173,8 +181,7 @@ class VersionedTable:
         if self.is_committed(batch):
             return None
         _, schema = self.state()
-        old = self.read().join(touched, self.partition, "left_semi")
-        gone = self.alive().join(touched, self.partition, "left_semi")
+        old, gone = self._in(self.read(), touched), self._in(self.alive(), touched)
         added = self._write(change(old).select(*schema.names), batch)
         return self._commit(gone.withColumn("op", F.lit("remove")).unionByName(added), schema)
 
@@ -198,19 +205,19 @@ class VersionedTable:
         snapshot, schema = self.state()
         batch = f"compact-{snapshot + 1}"
         candidates = before.where(many).select(*self.partition, F.col("rows").alias("n"))
-        live = self.alive().join(candidates.drop("n"), self.partition, "left_semi")
+        live = self._in(self.alive(), candidates)
         in_ledger = live.groupBy(*self.partition).agg(F.sum("n_rows").alias("n"))
         self._same_counts(in_ledger, candidates)
-        rows = self.read().join(candidates.drop("n"), self.partition, "left_semi")
+        rows = self._in(self.read(), candidates)
         added = self._write(rows, batch)
         self._same_counts(in_ledger, added.select(*self.partition, F.col("n_rows").alias("n")))
         self._commit(live.withColumn("op", F.lit("remove")).unionByName(added), schema)
-        paths = self._files(self.schema, batch).select(F.col("_metadata.file_path").alias("path"))
+        paths = self._files(self.schema, [batch]).select(F.col("_metadata.file_path").alias("path"))
         after = paths.distinct().count()
         return Compaction(partitions, chosen, n_files, n_files - chosen_files + after, dry_run)
 
     def _same_counts(self, expected: DataFrame, found: DataFrame) -> None:
-        pairs = expected.join(found.withColumnRenamed("n", "m"), self.partition, "full_outer")
+        pairs = null_safe_join(expected, found.withColumnRenamed("n", "m"), self.partition, "full_outer")
         wrong = pairs.where(~F.col("n").eqNullSafe(F.col("m"))).take(1)
         if wrong:
             raise RowCountChanged(f"row counts disagree, for one: {wrong[0]}")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,6 +16,7 @@ from fareflow.operators.sessions import with_session_ts
 from fareflow.schemas import WATERMARK_DELAY_SEC
 from fareflow.session import ROCKSDB
 from fareflow.sources.lake import Lake
+from fareflow.sources.versions import KeyedTable
 
 DELAY = f"{WATERMARK_DELAY_SEC} seconds"
 
@@ -50,8 +52,11 @@ def unpaid_rides_stream(sessions: DataFrame, payments: DataFrame) -> DataFrame:
     return joins.unpaid_rides_stream(*_watermarked(sessions, payments))
 
 
-def deduplicated(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """One row per ``event_id`` among repeats that arrive within the delay."""
+def deduplicated_within_delay(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """One row per ``event_id`` among repeats within the delay; rows behind the watermark are dropped.
+
+    For all ids, however late, insert into a keyed table: ``insert_batch``.
+    """
     return events.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
@@ -82,12 +87,18 @@ def run_to_table(stream: DataFrame, folder: str) -> DataFrame:
 # --- exactly-once sink -----------------------------------------------------------------------
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a checkpoint gives its query; a new checkpoint has a new one."""
+    text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").agg(F.concat_ws("", F.collect_list("value"))).first()[0]
+    return json.loads(text)["id"]
+
+
 class BatchTable:
     """Rows and positions of each micro-batch, committed together.
 
-    Batch ``n`` writes its rows to ``rows/batch=n`` and then, last, its offsets to
-    ``offsets/batch=n``. Readers take only batches with offsets, and a replayed batch overwrites
-    its own folders, so a stop between the two writes leaves nothing visible.
+    A batch is named after its query and its number, so batches of another checkpoint lie beside it. Its rows
+    are written first and its offsets last; readers take only batches with offsets. A batch that is committed
+    is left as it is when it comes again, and one that was stopped in between is written anew.
     """
 
     def __init__(self, spark: SparkSession, root: str, consumer_group: str) -> None:
@@ -96,10 +107,20 @@ class BatchTable:
         self.offsets_path = f"{root.rstrip('/')}/offsets"
         self.consumer_group = consumer_group
 
-    def write(self, rows: DataFrame, messages: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.rows_path}/batch={batch_id}")
+    def is_committed(self, batch: str) -> bool:
+        try:
+            return not self.spark.read.parquet(f"{self.offsets_path}/batch={batch}").isEmpty()
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return False
+
+    def write(self, rows: DataFrame, messages: DataFrame, batch: str) -> None:
+        if self.is_committed(batch):
+            return
+        rows.write.mode("overwrite").parquet(f"{self.rows_path}/batch={batch}")
         done = offsets.batch_offsets(messages, self.consumer_group)
-        done.coalesce(1).write.mode("overwrite").parquet(f"{self.offsets_path}/batch={batch_id}")
+        done.coalesce(1).write.mode("overwrite").parquet(f"{self.offsets_path}/batch={batch}")
 
     def _committed(self) -> DataFrame:
         return self.spark.read.parquet(self.offsets_path)
@@ -114,27 +135,39 @@ class BatchTable:
 
 
 def split_batch(
-    clean: BatchTable, dead: BatchTable, consumer_group: str
+    clean: BatchTable, dead: BatchTable, consumer_group: str, checkpoint: str
 ) -> Callable[[DataFrame, int], None]:
     """A batch function that decodes wire messages once into a clean and a dead-letter table."""
 
     def write(messages: DataFrame, batch_id: int) -> None:
+        batch = f"{stream_id(clean.spark, checkpoint)}-{batch_id}"
         decoded = poison.decode_ride_events(messages).persist()
         try:
             failed = poison.envelopes(decoded, consumer_group, F.current_timestamp())
-            dead.write(failed, decoded, batch_id)
-            clean.write(poison.clean_rows(decoded), decoded, batch_id)
+            dead.write(failed, decoded, batch)
+            clean.write(poison.clean_rows(decoded), decoded, batch)
         finally:
             decoded.unpersist()
 
     return write
 
 
-def archive_batch(lake: Lake) -> Callable[[DataFrame, int], None]:
-    """A batch function that archives clean ride events; a replayed batch is skipped."""
+def archive_batch(lake: Lake, checkpoint: str) -> Callable[[DataFrame, int], None]:
+    """A batch function that archives clean ride events; a replayed batch of the same query is skipped."""
 
     def write(events: DataFrame, batch_id: int) -> None:
-        lake.append(events, f"stream-{batch_id}")
+        lake.append(events, f"{stream_id(lake.spark, checkpoint)}-{batch_id}")
+
+    return write
+
+
+def insert_batch(
+    table: KeyedTable, order: Sequence[Column], checkpoint: str
+) -> Callable[[DataFrame, int], None]:
+    """A batch function that adds the rows whose key the table does not hold yet, however late they come."""
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        table.insert(rows, f"{stream_id(table.spark, checkpoint)}-{batch_id}", order)
 
     return write
 

@@ -19,7 +19,6 @@ from fareflow.schemas import (
     TERMINAL_TYPES,
 )
 
-CLOSED_RETENTION_SEC = 24 * 3600
 _SLOT_VALUES = T.StructType(
     [
         T.StructField(n, T.LongType() if n == "event_ts" else RIDE_EVENT[n].dataType)
@@ -48,13 +47,13 @@ _TERMINAL = [EVENT_ORDINALS[t] - 1 for t in TERMINAL_TYPES]
 class RideSlots(StatefulProcessor):
     """At most one slot per lifecycle ordinal is kept for a ride, however many events it has.
 
-    A ride is one state value, read and written once per micro-batch.
+    A ride is one state value, read and written once per micro-batch. A closed ride leaves a mark for ever, so
+    that it never opens again.
     """
 
-    def __init__(self, timeout_ms: int, delay_ms: int, retention_ms: int) -> None:
+    def __init__(self, timeout_ms: int, delay_ms: int) -> None:
         self.timeout_ms = timeout_ms
         self.delay_ms = delay_ms
-        self.retention_ms = retention_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -87,12 +86,7 @@ class RideSlots(StatefulProcessor):
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         state = self.ride.get()
         now = timerValues.getCurrentWatermarkInMs()
-        if state is None:
-            return
-        if state[0] is not None:
-            # The timer of an earlier, open state of the ride may come first; it changes nothing.
-            if state[0] + self.retention_ms <= now:
-                self.ride.clear()
+        if state is None or state[0] is not None:
             return
         slots = self._slots(state)
         if self._expiry(slots) <= now:
@@ -119,7 +113,6 @@ class RideSlots(StatefulProcessor):
     def _close(self, key: Any, slots: list, timerValues: Any) -> Row:
         newest = self._newest(slots)
         self.ride.update((newest, *[None] * len(slots)))
-        self._wake(newest + self.retention_ms, timerValues)
         values = [None if s is None else tuple(s[2:]) for s in slots]
         firsts = [None if slots[i] is None else slots[i][0] for i in _TERMINAL]
         return Row(*OUTPUT.names)(key[0], *values, *firsts)
@@ -129,7 +122,6 @@ def sessionize(
     events: DataFrame,
     timeout_sec: int = SESSION_TIMEOUT_SEC,
     delay_sec: int = SESSION_TIMEOUT_SEC,
-    closed_retention_sec: int = CLOSED_RETENTION_SEC,
 ) -> DataFrame:
     """Stream of closed sessions from a stream of clean ride events.
 
@@ -148,7 +140,7 @@ def sessionize(
         .select(*_INPUT)
     )
     closed = rows.groupBy("ride_id").transformWithState(
-        RideSlots(timeout_sec * 1000, delay_sec * 1000, closed_retention_sec * 1000),
+        RideSlots(timeout_sec * 1000, delay_sec * 1000),
         OUTPUT,
         "Append",
         "EventTime",

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareflow.operators import upsert
+from fareflow.sources.versions import VersionedTable
 from fareflow.sources.lake import Lake
 from fareflow.sources.versions import KeyedTable, RowCountChanged
 from tests.rides import T0, event, events_df
@@ -89,3 +90,24 @@ def test_keyed_table_moves_keys_and_leaves_other_partitions(spark, folder):
     assert {r["day"] for r in table.entries().where("snapshot = 3").collect()} == {"d1", "d2"}
     assert table.merge(spark.createDataFrame([("a", 3, "d2")], SCHEMA), "3", combine) is None
     assert table.read(2).where("k = 'a'").first()["v"] == 1
+
+
+def test_null_partition_values_are_kept(spark, folder):
+    rows = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "k int, p string")
+    table = VersionedTable(spark, f"{folder}/t", rows.schema, ["p"])
+    table.append(rows, "one")
+    assert sorted(r["k"] for r in table.read().collect()) == [1, 2, 3]
+    table.rewrite(rows.where("p is null").select("p"), lambda old: old.withColumn("k", F.col("k") * 10), "two")
+    assert sorted(r["k"] for r in table.read().collect()) == [1, 3, 20]
+    table.append(rows.where("p is null"), "three")
+    table.compact(min_files=1)
+    assert sorted(r["k"] for r in table.read().collect()) == [1, 2, 3, 20]
+
+
+def test_a_read_opens_live_batches_only(spark, folder):
+    rows = spark.createDataFrame([(1, "a")], "k int, p string")
+    table = VersionedTable(spark, f"{folder}/t", rows.schema, ["p"])
+    table.append(rows, "first")
+    for n in range(4):
+        table.rewrite(rows.select("p"), lambda old: old, f"again-{n}")
+    assert all("batch=again-3" in f for f in table.read().inputFiles())

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fareflow.operators import joins, shifts, windows
 from fareflow.operators.sessions import build_sessions, with_session_ts
 from fareflow.sources.lake import Lake
+from fareflow.sources.versions import KeyedTable
 from fareflow.streaming import jobs
 from fareflow.streaming.sessionizer import sessionize
 from fareflow.streaming.sources import file_stream, kafka_options
@@ -127,10 +128,29 @@ def test_payment_joins_match_batch(spark, folder):
 def test_dedup_across_batches(spark, folder):
     ride = full_ride("a")
     feed(spark, folder, [ride, ride[1:3], ride])
-    out = jobs.run_to_table(jobs.deduplicated(stream(spark, folder)), folder)
+    out = jobs.run_to_table(jobs.deduplicated_within_delay(stream(spark, folder)), folder)
     assert ids(out, "event_id") == ids(spark.read.parquet(f"{folder}/in").select("event_id").distinct(), "event_id")
 
 
+def test_dedup_by_key_loses_no_late_row(spark, folder):
+    day = 24 * 3600 * 1000
+    feed(spark, folder, [[event("requested", T0 + day, "new")], [event("requested", T0, "old")], [event("requested", T0 + day, "new")]])
+    events = stream(spark, folder).withColumn("day", F.to_date("event_ts"))
+    table = KeyedTable(spark, f"{folder}/t", events.schema, ["day"], ["event_id"])
+    write = jobs.insert_batch(table, [F.col("event_ts")], f"{folder}/cp")
+    jobs.start(events, f"{folder}/cp", foreach_batch=write).awaitTermination()
+    assert ids(table.read()) == ["new", "old"]
+
+
+def test_a_new_checkpoint_replaces_and_skips_nothing(spark, folder):
+    feed(spark, folder, [full_ride("a")])
+    lake = Lake(spark, f"{folder}/lake")
+    for n in range(2):
+        at = f"{folder}/cp{n}"
+        jobs.start(stream(spark, folder), at, foreach_batch=jobs.archive_batch(lake, at)).awaitTermination()
+    assert lake.read().count() == 10
+
+
 def test_late_output_by_batches_and_replay(spark, folder):
     late = jobs.LateOutput(spark, folder)
     first = events_df(spark, [event("requested", T0 + 600_000, "new"), event("requested", T0, "early")])
@@ -151,17 +171,28 @@ def wire(spark, values, offset=0):
 def test_split_sink_survives_replay_and_loss(spark, folder):
     clean = jobs.BatchTable(spark, f"{folder}/clean", "g")
     dead = jobs.BatchTable(spark, f"{folder}/dead", "g")
-    write = jobs.split_batch(clean, dead, "g")
+    write = jobs.split_batch(clean, dead, "g", checkpoint(spark, f"{folder}/cp"))
+    other = jobs.split_batch(clean, dead, "g", checkpoint(spark, f"{folder}/cp2"))
     good = b"\x00" + _body("a")
     write(wire(spark, [good, b"POISON"], 10), 0)
     write(wire(spark, [good, b"POISON"], 10), 0)
     assert clean.read().count() == 1 and dead.read().count() == 1
     assert dead.ledger().first()["kafka_offset"] == 11, "a poison offset counts as consumed"
     # Rows of batch 1 are written, the writer is lost before its offsets: nothing of it is visible.
-    clean.read().drop("batch").write.mode("overwrite").parquet(f"{clean.rows_path}/batch=1")
+    name = jobs.stream_id(spark, f"{folder}/cp")
+    clean.read().drop("batch").write.mode("overwrite").parquet(f"{clean.rows_path}/batch={name}-1")
     assert clean.read().count() == 1 and clean.ledger().first()["kafka_offset"] == 11
     write(wire(spark, [good], 12), 1)
     assert clean.read().count() == 2 and clean.ledger().first()["kafka_offset"] == 12
+    other(wire(spark, [good, good], 13), 0)
+    assert clean.read().count() == 4 and clean.ledger().first()["kafka_offset"] == 14
+
+
+def checkpoint(spark, folder):
+    """A checkpoint folder with an id, as a query makes it."""
+    source = spark.readStream.format("rate").load()
+    source.writeStream.format("noop").option("checkpointLocation", folder).trigger(availableNow=True).start().stop()
+    return folder
 
 
 def _body(ride):
@@ -174,7 +205,7 @@ def test_archive_from_a_stream(spark, folder):
     feed(spark, folder, [full_ride("a"), [event("requested", START, "b", payload_version=2, promo_code="SAVE5")]])
     lake = Lake(spark, f"{folder}/lake")
     source = stream(spark, folder)
-    jobs.start(source, f"{folder}/cp", foreach_batch=jobs.archive_batch(lake)).awaitTermination()
+    jobs.start(source, f"{folder}/cp", foreach_batch=jobs.archive_batch(lake, f"{folder}/cp")).awaitTermination()
     assert lake.state()[0] == 2 and lake.read().count() == 6
     assert lake.read().where("promo_code = 'SAVE5'").count() == 1
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from fareflow.operators import joins, late, offsets, ops, quality, scd2, upsert
 from fareflow.plans import dashboards, marts
 from fareflow.schemas import DQ_RESULT
+from fareflow.sources import seeds
 from tests.rides import T0, collect, event, events_df, full_ride
 
 
@@ -220,6 +221,8 @@ def test_alert_needs_two_unbroken_minutes(spark):
     samples = stamp(spark.createDataFrame(rows, "consumer_group string, topic string, partition int, ts long, lag long"), "ts")
     got = sorted((r["started_at"], r["n_samples"], r["firing"]) for r in collect(ops.lag_alerts(samples, slice_sec=60)))
     assert got == [(0, 3, True), (240_000, 2, False)]
+    got = collect(ops.lag_alerts(samples, slice_sec=60, max_gap_sec=100))
+    assert sorted((r["started_at"], r["n_samples"]) for r in got) == [(0, 3), (240_000, 1), (359_000, 1)]
 
 
 def test_target_is_down_only_in_every_home(spark):
@@ -265,3 +268,17 @@ def test_imperfections(spark):
 def test_throughput_of_one_moment_is_unknown(spark):
     df = stamp(spark.createDataFrame([(T0,)], "ts long"), "ts")
     assert ops.throughput(df, "ts").first()["rows_per_sec"] is None
+
+
+def test_seed_columns_have_fixed_types_and_misfits_fail(spark, folder):
+    def seed(name, *lines):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{folder}/{name}")
+        return seeds.load_seed(spark, f"{folder}/{name}", seeds.CITY_SEED)
+
+    header = "city_id,name,center_lat,center_lon,demand_weight"
+    good = seed("good", header, "1,North,1.5,2,0.25", '2,"South, old",,-3.5,1')
+    assert good.schema == seeds.CITY_SEED
+    assert sorted(map(tuple, good.collect())) == [(1, "North", 1.5, 2.0, 0.25), (2, "South, old", None, -3.5, 1.0)]
+    for name, lines in {"value": (header, "one,North,1,2,3"), "header": (header.replace("name", "title"), "1,North,1,2,3")}.items():
+        with pytest.raises(Exception):
+            seed(name, *lines).collect()
