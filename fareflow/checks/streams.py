@@ -149,12 +149,12 @@ def stream_dedup(t: DriverTables) -> DataFrame:
 
 @query(
     "stream_match_histogram",
-    "SELECT * FROM hist WHERE window_end <= (SELECT max(session_ts) FROM session_times) - INTERVAL 30 SECOND",
+    "SELECT * FROM hist WHERE window_end <= (SELECT max(session_ts) FROM session_times WHERE time_to_match_sec IS NOT NULL) - INTERVAL 30 SECOND",
     RIDE_USES,
     METRICS,
 )
 def stream_match_histogram(t: DriverTables) -> DataFrame:
-    """Histogram windows the watermark has passed."""
+    """Histogram windows the watermark has passed; it follows the rows that have a time to match."""
     return _run(t, jobs.match_histogram_stream(_copied_sessions(t)), "match-histogram")
 
 
