@@ -22,7 +22,7 @@ UNDETERMINED = "und"
 #: Odd multipliers of the filter's multiplicative hashes, one for each row an n-gram sets.
 HASHES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: Characters worked on at a time, unless one text is longer.
-CHARS_AT_ONCE = 1_000_000
+CHARS_AT_ONCE = 400_000
 SPACE, END = 32, 0
 
 

@@ -17,6 +17,7 @@ import re
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -26,11 +27,18 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Pieces whose ids a Python worker remembers; the memory is emptied beyond that.
-REMEMBERED = 400_000
+from fareflow.llm.memory import Memory
+
+#: Pieces and words whose ids a Python worker remembers, in either of two generations.
+REMEMBERED = 200_000
+#: Words handed to the library at a time, and characters of texts worked on at a time (or one longer text).
+WORDS_AT_ONCE, CHARS_AT_ONCE = 2_000, 1_000_000
 #: A space after one of these characters always starts a new pre-token, and so does the text after
 #: it: the pre-tokenizer's words take at most one space, in front, and never end before one.
 SURE = r"!-~À-ɏ"
+#: Inside a piece: between a Latin letter and an ASCII sign or line break, and after a single line break.
+MARKS, LAST_LATIN = {".", ",", "!", "?", ";", ":", "%", "&", "*", "$", "#"}, "ɏ"
+WITHIN = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ɏ])(?=[!-/:-@\[-`{-~\n])|(?<=[!-~]\n)(?=[A-Za-z])")
 
 
 class Encoder:
@@ -52,30 +60,66 @@ class Encoder:
             raise ValueError("the vocabulary changes what stands before a space")
         self.kind = np.dtype("<u2" if max(self.library.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
         self.end = np.array([end_id], dtype=self.kind).tobytes()
+        specials = [t["content"] for t in spec["added_tokens"]]
+        self.special = os.path.commonprefix(specials) or None
+        self.mark = specials[0] if specials else None
         self.unsure = re.compile(f"[^{SURE}] ")
         self.sure = re.compile(f"(?<=[{SURE}]) ")
-        self.seen: dict[str, bytes] = {}  # of pieces after a space
-        self.heads: dict[str, bytes] = {}  # of pieces that begin a text
+        self.words = Memory(self.encode_words, REMEMBERED)
+        self.after_space = Memory(self.encode_pieces, REMEMBERED)
+        self.heads = Memory(lambda pieces: self.joined([self.within(p) for p in pieces]), REMEMBERED // 10)
 
     def pieces(self, text: str) -> list[str]:
         """The text's pieces; the space that each but the first begins with is left out."""
         return self.sure.split(text) if self.unsure.search(text) else text.split(" ")
 
-    def learn(self, pieces: Sequence[str], before: str, seen: dict[str, bytes]) -> None:
-        found = self.library.encode_batch_fast([before + p for p in pieces], add_special_tokens=False)
-        seen.update((p, np.array(e.ids, dtype=self.kind).tobytes()) for p, e in zip(pieces, found, strict=True))
+    def within(self, piece: str) -> list[str]:
+        """The words of a piece, marks apart; a piece that may hold a special token stays whole."""
+        return [piece] if self.special and self.special in piece else WITHIN.split(piece)
+
+    def encode_words(self, words: Sequence[str]) -> Iterator[bytes]:
+        """Ids of each word. Words go to the library in one text, parted by a special token, which ends a pre-token."""
+        for i in range(0, len(words), WORDS_AT_ONCE):
+            some = words[i : i + WORDS_AT_ONCE]
+            if self.mark is None or any(self.mark in w for w in some):
+                for found in self.library.encode_batch_fast(some, add_special_tokens=False):
+                    yield np.array(found.ids, dtype=self.kind).tobytes()
+                continue
+            found = self.library.encode_batch_fast([self.mark.join(some)], add_special_tokens=False)
+            ids = np.array(found[0].ids, dtype=self.kind)
+            cuts = np.flatnonzero(ids == self.library.token_to_id(self.mark)) * self.kind.itemsize
+            raw = ids.tobytes()
+            starts, ends = [0, *(cuts + self.kind.itemsize).tolist()], [*cuts.tolist(), len(raw)]
+            yield from (raw[a:b] for a, b in zip(starts, ends, strict=True))
+
+    def joined(self, split: Sequence[list[str]]) -> list[bytes]:
+        ids = self.words.of(set(chain.from_iterable(split)))
+        return [ids(own[0]) if len(own) == 1 else b"".join(map(ids, own)) for own in split]
+
+    def encode_pieces(self, pieces: Sequence[str]) -> list[bytes]:
+        """Pieces share their words: a mark behind a word is a pre-token of its own."""
+        split = []
+        for p in pieces:
+            if p.isalpha():
+                split.append([f" {p}"])
+            elif p[-1:] in MARKS and p[:-1].isalpha() and p[-2] <= LAST_LATIN:
+                split.append([f" {p[:-1]}", p[-1]])
+            else:
+                split.append(self.within(f" {p}"))
+        return self.joined(split)
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
-        if len(self.seen) + len(self.heads) > REMEMBERED:
-            self.seen, self.heads = {}, {}
         split = [self.pieces(text) for text in texts]
         heads = [own.pop(0) for own in split]
-        if new := set(heads).difference(self.heads):
-            self.learn(list(new), "", self.heads)
-        if new := set(chain.from_iterable(split)).difference(self.seen):
-            self.learn(list(new), " ", self.seen)
-        ids = self.seen.__getitem__
-        return [b"".join([self.heads[head], *map(ids, own), self.end]) for head, own in zip(heads, split, strict=True)]
+        head_ids = self.heads.of(set(heads))
+        ids = self.after_space.of(set(chain.from_iterable(split)))
+        return [b"".join([head_ids(head), *map(ids, own), self.end]) for head, own in zip(heads, split, strict=True)]
+
+
+@cache
+def encoder_of(path: str, end_id: int) -> Encoder:
+    """One encoder for each Python worker, so that later tasks find what earlier ones have met."""
+    return Encoder(path, end_id)
 
 
 class SequenceWriter:
@@ -201,10 +245,10 @@ def write_token_files(
         store, base = fs.FileSystem.from_uri(root)
         name = f"part-{part:06d}.arrow"
         own = f"{base}/ids/_{name}.{context.taskAttemptId()}"
-        encoder, writer, sink, at = Encoder(vocabulary, end_id), None, None, 0
+        encoder, writer, sink, at = encoder_of(vocabulary, end_id), None, None, 0
         for batch in batches:
             texts, counts = batch.column(1).to_pylist(), []
-            for a, b in runs(texts, 4_000_000):
+            for a, b in runs(texts, CHARS_AT_ONCE):
                 for ids in encoder.encode(texts[a:b]):
                     if writer is None:
                         store.create_dir(f"{base}/ids", recursive=True)
