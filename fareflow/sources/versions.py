@@ -96,16 +96,11 @@ class VersionedTable:
         """Rows of some batches, committed or not; columns a file lacks read as null."""
         stored = [f for f in schema.fields if f.name not in self.partition]
         places = [T.StructField("batch", T.StringType()), *[schema[c] for c in self.partition]]
-        empty = self.spark.createDataFrame([], T.StructType([*stored, *places]))
+        columns = T.StructType([*stored, *places])
         if not batches:
-            return empty
-        reader = self.spark.read.schema(empty.schema).option("basePath", self.data)
-        try:
-            return reader.parquet(*[f"{self.data}/batch={batch}" for batch in batches])
-        except AnalysisException as error:
-            if not path_missing(error):
-                raise
-            return empty
+            return self.spark.createDataFrame([], columns)
+        reader = self.spark.read.schema(columns).option("basePath", self.data)
+        return reader.parquet(*[f"{self.data}/batch={batch}" for batch in batches])
 
     def _live_files(self, schema: T.StructType, snapshot: int | None) -> DataFrame:
         """Rows of a snapshot's partitions, from the folders of its live batches (one name a batch is gathered)."""
@@ -216,6 +211,17 @@ class VersionedTable:
         after = paths.distinct().count()
         return Compaction(partitions, chosen, n_files, n_files - chosen_files + after, dry_run)
 
+    def expire(self, keep: Sequence[int] = ()) -> int:
+        """Delete the data of batches that neither the newest snapshot nor one in ``keep`` reads; how many.
+
+        Snapshots that read a deleted batch can be read no more. The ledger keeps its history.
+        """
+        kept = {r["batch"] for s in (None, *keep) for r in self.alive(s).select("batch").distinct().collect()}
+        stored = {r["batch"] for r in self.entries().where("op = 'add'").select("batch").distinct().collect()}
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        paths = [jvm.org.apache.hadoop.fs.Path(f"{self.data}/batch={batch}") for batch in sorted(stored - kept)]
+        return sum(path.getFileSystem(conf).delete(path, True) for path in paths)
+
     def _same_counts(self, expected: DataFrame, found: DataFrame) -> None:
         pairs = null_safe_join(expected, found.withColumnRenamed("n", "m"), self.partition, "full_outer")
         wrong = pairs.where(~F.col("n").eqNullSafe(F.col("m"))).take(1)

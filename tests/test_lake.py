@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -110,4 +111,18 @@ def test_a_read_opens_live_batches_only(spark, folder):
     table.append(rows, "first")
     for n in range(4):
         table.rewrite(rows.select("p"), lambda old: old, f"again-{n}")
-    assert all("batch=again-3" in f for f in table.read().inputFiles())
+    data = [f for f in table.read().inputFiles() if "/data/" in f]
+    assert data and all("batch=again-3" in f for f in data)
+
+
+def test_expiry_keeps_what_is_asked_for(spark, folder):
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "k int, p string")
+    table = VersionedTable(spark, f"{folder}/t", rows.schema, ["p"])
+    table.append(rows, "first")
+    for n in range(3):
+        table.rewrite(rows.select("p"), lambda old: old.withColumn("k", F.col("k") + 1), f"again-{n}")
+    assert table.expire(keep=[2]) == 2
+    assert table.expire(keep=[2]) == 0
+    assert [sorted(r["k"] for r in table.read(s).collect()) for s in (2, 4, None)] == [[2, 3], [4, 5], [4, 5]]
+    with pytest.raises(AnalysisException):
+        table.read(1).collect()
