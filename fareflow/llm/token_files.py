@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from fareflow.llm.memory import Memory
 
 #: Pieces and words whose ids a Python worker remembers, in either of two generations.
-REMEMBERED = 200_000
+REMEMBERED, REMEMBERED_WORDS = 200_000, 500_000
 #: Words handed to the library at a time, and characters of texts worked on at a time (or one longer text).
 WORDS_AT_ONCE, CHARS_AT_ONCE = 2_000, 1_000_000
 #: A space after one of these characters always starts a new pre-token, and so does the text after
@@ -65,7 +65,7 @@ class Encoder:
         self.mark = specials[0] if specials else None
         self.unsure = re.compile(f"[^{SURE}] ")
         self.sure = re.compile(f"(?<=[{SURE}]) ")
-        self.words = Memory(self.encode_words, REMEMBERED)
+        self.words = Memory(self.encode_words, REMEMBERED_WORDS)
         self.after_space = Memory(self.encode_pieces, REMEMBERED)
         self.heads = Memory(lambda pieces: self.joined([self.within(p) for p in pieces]), REMEMBERED // 10)
 
