@@ -16,8 +16,13 @@ MIN_LANGUAGE_SCORE = 0.2
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a letter, and those in none of the languages learnt from ``docs``."""
+    """Drop documents without a letter, and those in none of the languages learnt from ``docs``.
+
+    Without a labelled document there is no language to learn, and nothing is dropped.
+    """
     model = language.fit(docs.where(~language.held_out()))
+    if not model.languages:
+        return docs
     (judged,) = free_name(docs, ["judged"])
     good = (F.col(f"{judged}.lang") != language.UNDETERMINED) & (F.col(f"{judged}.score") >= MIN_LANGUAGE_SCORE)
     return language.with_language(docs, model, out=judged).where(good).drop(judged)
