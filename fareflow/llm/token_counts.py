@@ -14,7 +14,8 @@ from __future__ import annotations
 import json
 import unicodedata
 from collections.abc import Iterator, Sequence
-from itertools import filterfalse
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +23,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pieces whose counts a Python worker remembers; the memory is emptied beyond that.
-REMEMBERED = 600_000
+from fareflow.llm.memory import Memory
+
+#: Pieces whose counts a Python worker remembers, in either of two generations.
+REMEMBERED = 400_000
 #: Symbols merged at a time, which bounds the arrays of one round.
 SYMBOLS_A_ROUND = 2_000_000
 
@@ -62,7 +65,7 @@ class PairMerger:
         self.marks = {s[0] for s in self.special}
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words = regex.compile(pattern.replace(r"\s", WHITE))
-        self.seen: dict[str, int] = {"": 0}
+        self.seen = Memory(self.learn, REMEMBERED)
 
     def normal(self, text: str) -> str:
         """Composed and lower-cased character by character (a final sigma is no exception)."""
@@ -105,27 +108,28 @@ class PairMerger:
             symbols, owner = symbols[keep], owner[keep]
         return counts
 
-    def learn(self, pieces: Sequence[str]) -> None:
-        """Count the tokens of new pieces and remember them."""
-        owner, words, extra = [], [], np.zeros(len(pieces), dtype=np.int64)
+    def learn(self, pieces: Sequence[str]) -> list[int]:
+        """Tokens of pieces not met before."""
+        owner, words, counts = [], [], np.zeros(len(pieces), dtype=np.int64)
         for i, piece in enumerate(pieces):
-            found, extra[i] = self.pre_tokens(piece)
+            found, counts[i] = self.pre_tokens(piece)
             words += found
             owner += [i] * len(found)
         for a, b in slices_of([len(w) for w in words], SYMBOLS_A_ROUND):
-            np.add.at(extra, owner[a:b], self.merged(words[a:b]))
-        self.seen.update(zip(pieces, extra.tolist(), strict=True))
+            np.add.at(counts, owner[a:b], self.merged(words[a:b]))
+        return counts.tolist()
 
     def count(self, texts: Sequence[str]) -> list[int]:
         """Tokens of each text."""
-        if len(self.seen) > REMEMBERED:
-            self.seen = {"": 0}
-        out = []
         pieces = [text.replace("\n", " ").split(" ") for text in texts]
-        self.learn(list({p for own in pieces for p in filterfalse(self.seen.__contains__, own)}))
-        for own in pieces:
-            out.append(sum(map(self.seen.__getitem__, own)))
-        return out
+        tokens = self.seen.of(set(chain.from_iterable(pieces)))
+        return [sum(map(tokens, own)) for own in pieces]
+
+
+@cache
+def merger_of(path: str) -> PairMerger:
+    """One merger for each Python worker, so that later tasks find what earlier ones have met."""
+    return PairMerger(path)
 
 
 def slices_of(sizes: Sequence[int], most: int) -> Iterator[tuple[int, int]]:
@@ -151,11 +155,11 @@ def token_counts(
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merger = PairMerger(vocabulary)
+        merger = merger_of(vocabulary)
         for batch in batches:
             texts = batch.column(2).to_pylist()
             counts: list[int] = []
-            for a, b in slices_of([len(t) for t in texts], 4_000_000):
+            for a, b in slices_of([len(t) for t in texts], 1_000_000):
                 counts += merger.count(texts[a:b])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(counts, pa.int64())], ["id", "n_bytes", "n_tokens"]
