@@ -27,31 +27,50 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fareflow.llm.memory import Memory
-
-#: Pieces and words whose ids a Python worker remembers, in either of two generations.
-REMEMBERED, REMEMBERED_WORDS = 200_000, 500_000
-#: Words handed to the library at a time, and characters of texts worked on at a time (or one longer text).
-WORDS_AT_ONCE, CHARS_AT_ONCE = 2_000, 1_000_000
-#: A space after one of these characters always starts a new pre-token, and so does the text after
-#: it: the pre-tokenizer's words take at most one space, in front, and never end before one.
-SURE = r"!-~À-ɏ"
+from fareflow.llm.pieces import PieceIds, piece_rows, runs, sums
+from fareflow.llm.token_counts import byte_symbols
+
+#: Characters of texts worked on at a time (or one longer text).
+CHARS_AT_ONCE = 4_000_000
+#: Signs that are a pre-token of their own between a letter and a piece's end.
+MARKS, LAST_LATIN = ".,!?;:%&*$#", "ɏ"
 #: Inside a piece: between a Latin letter and an ASCII sign or line break, and after a single line break.
-MARKS, LAST_LATIN = {".", ",", "!", "?", ";", ":", "%", "&", "*", "$", "#"}, "ɏ"
 WITHIN = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ɏ])(?=[!-/:-@\[-`{-~\n])|(?<=[!-~]\n)(?=[A-Za-z])")
 
 
+class Words(dict[str, list[int]]):
+    """Ids of words met in one call; a word of Latin letters, with or without a space before it, is looked up in the
+    encoder's store or goes to the library's model.
+    """
+
+    def __init__(self, encoder: Encoder) -> None:
+        self.model, self.symbols = encoder.library.model.tokenize, encoder.symbols
+        self.known, self.ids = encoder.pieces.known, encoder.pieces.fields[0]
+
+    def __missing__(self, word: str) -> list[int]:
+        row = self.known.get(word)
+        if row is None:
+            symbols = word.replace(" ", "Ġ") if word.isascii() else word.encode().decode("latin1").translate(self.symbols)
+            found = [t.id for t in self.model(symbols)]
+        else:
+            found = self.ids.row(row).tolist()
+        self[word] = found
+        return found
+
+
 class Encoder:
-    """The tokenizer library's ids of whole texts, as little-endian bytes, and an end id.
+    """The tokenizer library's ids of whole texts, and an end id.
 
     A text is cut where a space follows a letter or mark; such pieces are encoded apart from one
-    another by definition of the pre-tokenizer, so repeated pieces need the library only once.
+    another by definition of the pre-tokenizer, so repeated pieces need the library only once. A piece that
+    is one pre-token goes straight to the library's model.
     """
 
-    def __init__(self, path: str, end_id: int) -> None:
+    def __init__(self, path: str, end_id: int, special_as_text: bool = False) -> None:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = special_as_text
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         if spec["normalizer"] or spec["pre_tokenizer"].get("type") != "ByteLevel":
@@ -59,61 +78,50 @@ class Encoder:
         if spec["pre_tokenizer"]["add_prefix_space"] or any(" " in t["content"] for t in spec["added_tokens"]):
             raise ValueError("the vocabulary changes what stands before a space")
         self.kind = np.dtype("<u2" if max(self.library.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
-        self.end = np.array([end_id], dtype=self.kind).tobytes()
-        specials = [t["content"] for t in spec["added_tokens"]]
-        self.special = os.path.commonprefix(specials) or None
-        self.mark = specials[0] if specials else None
-        self.unsure = re.compile(f"[^{SURE}] ")
-        self.sure = re.compile(f"(?<=[{SURE}]) ")
-        self.words = Memory(self.encode_words, REMEMBERED_WORDS)
-        self.after_space = Memory(self.encode_pieces, REMEMBERED)
-        self.heads = Memory(lambda pieces: self.joined([self.within(p) for p in pieces]), REMEMBERED // 10)
-
-    def pieces(self, text: str) -> list[str]:
-        """The text's pieces; the space that each but the first begins with is left out."""
-        return self.sure.split(text) if self.unsure.search(text) else text.split(" ")
+        self.end_id = end_id
+        self.special = os.path.commonprefix([t["content"] for t in spec["added_tokens"]]) or None
+        self.symbols = dict(enumerate(byte_symbols()))
+        self.marks = {c: self.library.token_to_id(c) for c in MARKS}
+        self.line = self.library.token_to_id("Ċ")
+        self.pieces = PieceIds(self.encode_pieces, [self.kind])
 
     def within(self, piece: str) -> list[str]:
         """The words of a piece, marks apart; a piece that may hold a special token stays whole."""
         return [piece] if self.special and self.special in piece else WITHIN.split(piece)
 
-    def encode_words(self, words: Sequence[str]) -> Iterator[bytes]:
-        """Ids of each word. Words go to the library in one text, parted by a special token, which ends a pre-token."""
-        for i in range(0, len(words), WORDS_AT_ONCE):
-            some = words[i : i + WORDS_AT_ONCE]
-            if self.mark is None or any(self.mark in w for w in some):
-                for found in self.library.encode_batch_fast(some, add_special_tokens=False):
-                    yield np.array(found.ids, dtype=self.kind).tobytes()
-                continue
-            found = self.library.encode_batch_fast([self.mark.join(some)], add_special_tokens=False)
-            ids = np.array(found[0].ids, dtype=self.kind)
-            cuts = np.flatnonzero(ids == self.library.token_to_id(self.mark)) * self.kind.itemsize
-            raw = ids.tobytes()
-            starts, ends = [0, *(cuts + self.kind.itemsize).tolist()], [*cuts.tolist(), len(raw)]
-            yield from (raw[a:b] for a, b in zip(starts, ends, strict=True))
-
-    def joined(self, split: Sequence[list[str]]) -> list[bytes]:
-        ids = self.words.of(set(chain.from_iterable(split)))
-        return [ids(own[0]) if len(own) == 1 else b"".join(map(ids, own)) for own in split]
-
-    def encode_pieces(self, pieces: Sequence[str]) -> list[bytes]:
-        """Pieces share their words: a mark behind a word is a pre-token of its own."""
-        split = []
+    def encode_pieces(self, pieces: Sequence[str]) -> list[tuple[list[int]]]:
+        """Ids of each piece; Latin letters, and marks behind them, are pre-tokens of their own."""
+        marks, line, out, words, others = self.marks, self.line, [], Words(self), []
         for p in pieces:
-            if p.isalpha():
-                split.append([f" {p}"])
-            elif p[-1:] in MARKS and p[:-1].isalpha() and p[-2] <= LAST_LATIN:
-                split.append([f" {p[:-1]}", p[-1]])
+            broken = p[0] == "\n"
+            word = p[1:] if broken else p
+            letters = word[1:] if word[:1] == " " else word
+            if letters.isalpha() and (letters.isascii() or max(letters) <= LAST_LATIN):
+                found = words[word]
+            elif word[-1:] in marks and letters[:-1].isalpha() and (letters.isascii() or max(letters) <= LAST_LATIN):
+                found = [*words[word[:-1]], marks[word[-1]]]
             else:
-                split.append(self.within(f" {p}"))
-        return self.joined(split)
-
-    def encode(self, texts: Sequence[str]) -> list[bytes]:
-        split = [self.pieces(text) for text in texts]
-        heads = [own.pop(0) for own in split]
-        head_ids = self.heads.of(set(heads))
-        ids = self.after_space.of(set(chain.from_iterable(split)))
-        return [b"".join([head_ids(head), *map(ids, own), self.end]) for head, own in zip(heads, split, strict=True)]
+                out.append(([],))
+                others.append((out[-1][0], self.within(p)))
+                continue
+            out.append(([line, *found] if broken else found,))
+        rest = set(chain.from_iterable(own for _, own in others))
+        rest = [w for w in rest if not (w[w[:1] == " " :].isalpha() and max(w) <= LAST_LATIN)]
+        words.update((w, e.ids) for w, e in zip(rest, self.library.encode_batch_fast(rest, add_special_tokens=False), strict=True))
+        for found, own in others:
+            found += chain.from_iterable(words[w] for w in own)
+        return out
+
+    def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each with its end id, one after another, and how many each has."""
+        rows, n_pieces = piece_rows(texts, self.pieces, lines=True)
+        ids, sizes = self.pieces.fields[0].gather(rows)
+        counts = sums(sizes, n_pieces) + 1
+        out, last = np.empty(len(ids) + len(texts), self.kind), np.cumsum(counts) - 1
+        inner = np.ones(len(out), bool)
+        inner[last] = False
+        out[last], out[inner] = self.end_id, ids
+        return out, counts
 
 
 @cache
@@ -131,22 +139,19 @@ class SequenceWriter:
             {"ids": pa.list_(pa.from_numpy_dtype(kind), seq_len), "mask": pa.list_(pa.bool_(), seq_len)}
         ).with_metadata({"rows_per_batch": str(rows_per_batch)})
         self.out = pa.ipc.new_file(sink, self.schema)
-        self.waiting: list[bytes] = []
-        self.bytes = 0
+        self.waiting = np.empty(0, kind)
 
-    def add(self, ids: bytes) -> None:
-        self.waiting.append(ids)
-        self.bytes += len(ids)
-        if self.bytes >= self.rows * self.seq_len * self.kind.itemsize:
+    def add(self, ids: np.ndarray) -> None:
+        self.waiting = np.concatenate([self.waiting, ids])
+        if len(self.waiting) >= self.rows * self.seq_len:
             self._flush()
 
     def _flush(self, last: bool = False) -> None:
-        flat, full = np.frombuffer(b"".join(self.waiting), dtype=self.kind), self.rows * self.seq_len
+        flat, full = self.waiting, self.rows * self.seq_len
         end = len(flat) if last else len(flat) // full * full
         for a in range(0, end, full):
             self._batch(flat[a : min(a + full, end)])
-        self.waiting = [flat[end:].tobytes()]
-        self.bytes = len(self.waiting[0])
+        self.waiting = flat[end:].copy()
 
     def _batch(self, ids: np.ndarray) -> None:
         padded = np.zeros(-(-len(ids) // self.seq_len) * self.seq_len, dtype=self.kind)
@@ -247,16 +252,14 @@ def write_token_files(
         own = f"{base}/ids/_{name}.{context.taskAttemptId()}"
         encoder, writer, sink, at = encoder_of(vocabulary, end_id), None, None, 0
         for batch in batches:
-            texts, counts = batch.column(1).to_pylist(), []
-            for a, b in runs(texts, CHARS_AT_ONCE):
-                for ids in encoder.encode(texts[a:b]):
-                    if writer is None:
-                        store.create_dir(f"{base}/ids", recursive=True)
-                        sink = store.open_output_stream(own)
-                        writer = SequenceWriter(sink, encoder.kind, seq_len, rows_per_batch)
-                    writer.add(ids)
-                    counts.append(len(ids) // encoder.kind.itemsize)
-            n = np.array(counts, dtype=np.int64)
+            n = np.empty(len(batch), dtype=np.int64)
+            for texts, a, b in runs(batch.column(1), CHARS_AT_ONCE):
+                if writer is None:
+                    store.create_dir(f"{base}/ids", recursive=True)
+                    sink = store.open_output_stream(own)
+                    writer = SequenceWriter(sink, encoder.kind, seq_len, rows_per_batch)
+                ids, n[a:b] = encoder.encode(texts)
+                writer.add(ids)
             starts = at + np.cumsum(n) - n
             at += int(n.sum())
             yield pa.RecordBatch.from_arrays(
@@ -284,18 +287,6 @@ def write_token_files(
     return TokenFiles(root, id_col)
 
 
-def runs(texts: Sequence[str], most: int) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``most`` characters, or one text that is longer."""
-    start = total = 0
-    for i, text in enumerate(texts):
-        if total + len(text) > most and i > start:
-            yield start, i
-            start, total = i, 0
-        total += len(text)
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def read_digests(spark: SparkSession, files: TokenFiles) -> DataFrame:
     """Per document, from the files: id, start (ids of all documents before it), n_tokens, ids_crc32.
 

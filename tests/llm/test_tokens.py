@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from fareflow.llm import token_files
 from fareflow.llm.token_counts import PairMerger, token_counts
-from tests.llm.cases import clashing, documents
+from tests.llm.cases import clashing, documents, prose
 
 WORDS, BYTES = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
 ODD = "aAbB  '.,0123\n\t\r\x0b\xa0 　́ÉéßΣσςİıñǅ中文가ẞ🙂ⅷ²½٣\x1c\x85​<|>"
@@ -42,10 +44,35 @@ def test_counts_stay_right_when_the_memory_is_emptied(odd_texts, monkeypatch):
 def test_encoded_pieces_are_the_librarys_ids(odd_texts):
     library = Tokenizer.from_file(BYTES)
     encoder = token_files.Encoder(BYTES, 2)
-    encoder.words.most = encoder.after_space.most = 50
-    got = [x for i in range(0, len(odd_texts), 500) for x in encoder.encode(odd_texts[i : i + 500])]
-    for ids, text in zip(got, odd_texts, strict=True):
-        assert np.frombuffer(ids, "<u2").tolist() == [*library.encode(text, add_special_tokens=False).ids, 2]
+    encoder.pieces.most_bytes, encoder.pieces.longest = 10_000, 6
+    prose_texts = [prose(i, 60).replace("ta", draw) for i, draw in enumerate(["Ta", "ǅ", "ŋa", ".\nTa", "'s", "ɏ"])]
+    texts = odd_texts + prose_texts + [t.replace(" ", "  ", 3) for t in prose_texts]
+    for i in range(0, len(texts), 500):
+        some = texts[i : i + 500]
+        ids, counts = encoder.encode(pa.array(some))
+        wanted = [[*library.encode(t, add_special_tokens=False).ids, 2] for t in some]
+        assert counts.tolist() == [len(w) for w in wanted]
+        assert ids.tolist() == [x for w in wanted for x in w]
+    assert encoder.encode(pa.array([], pa.string()))[0].tolist() == []
+
+
+def test_memory_is_bounded_whatever_the_pieces():
+    """Long texts without a space are one piece each; short pieces fill the store and are forgotten."""
+    encoder = token_files.Encoder(BYTES, 2)
+    encoder.pieces.most_bytes = 200_000
+    library, draw = Tokenizer.from_file(BYTES), random.Random(1)
+    tracemalloc.start()
+    for i in range(60):
+        long = "".join(chr(draw.randrange(0x4E00, 0x9FA5)) for _ in range(2000))
+        short = " ".join(f"{draw.randrange(1 << 40):x}" for _ in range(1000))
+        ids, _ = encoder.encode(pa.array([long, short]))
+        if i in (0, 59):
+            assert ids.tolist() == [x for t in (long, short) for x in [*library.encode(t, add_special_tokens=False).ids, 2]]
+        if i == 20:
+            early = tracemalloc.get_traced_memory()[0]
+    assert tracemalloc.get_traced_memory()[0] < early + 1_000_000
+    tracemalloc.stop()
+    assert all(len(p) <= encoder.pieces.longest for p in encoder.pieces.known)
 
 
 def test_counts_of_a_table(spark):
