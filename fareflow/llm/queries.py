@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import decontaminate, embeddings, language, mixing, shards, simhash, surrogates, token_counts, token_files, urls
+from fareflow.llm import (
+    align,
+    decontaminate,
+    embeddings,
+    language,
+    mining,
+    mixing,
+    shards,
+    simhash,
+    substrings,
+    surrogates,
+    token_counts,
+    token_files,
+    urls,
+)
 from fareflow.llm.common import table
 from fareflow.session import work_dir
 
@@ -160,3 +174,65 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shards.with_shards(table(spark, sf_dir, "documents"), shards=8)
     crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
     return placed.select("doc_id", "size", crc.alias("text_crc32"), "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives of every hundredth vector within score windows of its positives; every seventh label is off by one."""
+    off = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", off)
+    return mining.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+#: Stated from the definition: every anchor against every row.
+ORACLE["op11_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS p
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, o.vec_id, o.label, CAST(list_inner_product(a.p, o.p) AS BIGINT) AS score
+  FROM v a JOIN v o ON o.vec_id <> a.vec_id AND len(o.p) = len(a.p) WHERE a.vec_id % 100 = 0),
+positive AS (
+  SELECT anchor_id, own, vec_id AS positive_id, score AS positive_score FROM scored WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positive p JOIN scored s ON s.anchor_id = p.anchor_id AND s.label <> p.own
+  AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10"""
+
+
+@query
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages of 13 words that a smaller document has too."""
+    cleaned = substrings.remove_repeated(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: Stated from the rule alone: all windows as whole strings, and the smallest document of each.
+ORACLE["op12_substring_dedup"] = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM doc WHERE len(w) >= 13)),
+least AS (SELECT s, min(doc_id) AS smallest FROM win GROUP BY s),
+hit AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM win JOIN least USING (s) WHERE smallest < doc_id),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM doc),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN hit USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (doc_id)"""
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens by two vocabularies, grouped where both end."""
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align.align(table(spark, sf_dir, "documents"), a, b)
