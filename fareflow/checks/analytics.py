@@ -283,7 +283,7 @@ def versions_with_promo(t: DriverTables) -> DataFrame:
 def exact_price_quantiles(t: DriverTables) -> DataFrame:
     """Exact quantiles of three groups that hold a third of the table each."""
     rows = quantiles.exact_quantiles(
-        t.table("lineitem"), ["l_returnflag"], "l_extendedprice", {"p50": 0.5, "p95": 0.95}, 100.0
+        t.table("lineitem"), ["l_returnflag"], "l_extendedprice", {"p50": 0.5, "p95": 0.95}
     )
     return rows.withColumns({"p50": F.round("p50", 4), "p95": F.round("p95", 4)})
 
@@ -476,13 +476,12 @@ def ping_sessions(t: DriverTables) -> DataFrame:
     return shifts.ping_sessions(t.pings, PING_ORDER)
 
 
-@query(
-    "late_events",
-    """SELECT event_id, ride_id, event_type, event_ts, city_id, date_sub('second', event_ts, wm) AS late_by_sec FROM
+LATE_SQL = """SELECT event_id, ride_id, event_type, event_ts, city_id, date_sub('second', event_ts, wm) AS late_by_sec FROM
   (SELECT *, max(event_ts) OVER (PARTITION BY kafka_partition ORDER BY kafka_offset ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-   - INTERVAL 30 SECOND AS wm FROM ride_events) WHERE event_ts < wm""",
-    ("ride_events",),
-)
+   - INTERVAL 30 SECOND AS wm FROM ride_events) WHERE event_ts < wm"""
+
+
+@query("late_events", LATE_SQL, ("ride_events",))
 def late_events(t: DriverTables) -> DataFrame:
     return late.late_events(t.ride_events)
 

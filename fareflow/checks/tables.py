@@ -624,4 +624,4 @@ def throughput(t: DriverTables) -> DataFrame:
     ("ev",),
 )
 def latency_summary(t: DriverTables) -> DataFrame:
-    return rounded(ops.latency_summary(t.events, "value", 1.0), "p50_sec", "p95_sec")
+    return rounded(ops.latency_summary(t.events, "value"), "p50_sec", "p95_sec")

@@ -8,7 +8,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareflow.operators.slices import null_safe_join
+from fareflow.operators.slices import null_safe_join, with_running
+
+#: A sketch's ranks are off by a share of 1 / ACCURACY at most; brackets reach MARGIN times as far on either side.
+ACCURACY, MARGIN = 10_000, 4
 
 
 def _ranks(q: float, total: Column, method: str) -> tuple[Column, Column, Column]:
@@ -26,69 +29,52 @@ def exact_quantiles(
     keys: Sequence[str],
     value: str,
     quantiles: Mapping[str, float],
-    bin_width: float,
-    method: str = "linear",
+    method: str | Mapping[str, str] = "linear",
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
-    """One row per key group with the named quantiles of the non-null values.
+    """One row per key group with the named quantiles of the non-null values, all in one run.
 
-    ``linear`` interpolates between neighbours (percentile_cont); ``index`` takes the sorted
-    value at ``int(q * n) - 1``. A first pass counts values per bin of ``bin_width``, which
-    shuffles one row per group and bin. Only the values of the bins that hold a wanted rank
-    are then brought together, equal ones counted before the shuffle, and sorted per bin. A task
-    never sorts a whole group; choose the width so that a group has thousands of bins at most.
+    ``linear`` interpolates between neighbours (percentile_cont); ``index`` takes the sorted value at
+    ``int(q * n) - 1``; a mapping names the method of each quantile. No width of bins has to be guessed: a first pass
+    draws a sketch of each group, whose ranks are off by n / ``accuracy`` at most, and takes from it a bracket around
+    each quantile. A second pass counts the values outside the brackets, span by span, and the distinct values inside, both on the
+    map side; running sums over those find the ranks, one task a bracket. Values that are all alike are one row.
     """
     grouped = [F.col(k) for k in keys] if keys else [F.lit(0).alias("_all")]
     names = list(keys) if keys else ["_all"]
-    values = df.where(F.col(value).isNotNull()).select(
-        *grouped,
-        F.col(value).cast("double").alias("_v"),
-        F.floor(F.col(value).cast("double") / F.lit(float(bin_width))).cast("long").alias("_bin"),
+    methods = dict.fromkeys(quantiles, method) if isinstance(method, str) else method
+    values = df.where(F.col(value).isNotNull()).select(*grouped, F.col(value).cast("double").alias("_v"))
+    shares = [min(max(q + d / accuracy, 0.0), 1.0) for q in quantiles.values() for d in (-MARGIN, MARGIN)]
+    brackets = values.groupBy(*names).agg(
+        F.count(F.lit(1)).alias("_total"), F.percentile_approx("_v", shares, accuracy).alias("_edges")
     )
-    per_key = Window.partitionBy(*names)
-    upto = per_key.orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bins = (
-        values.groupBy(*names, "_bin")
-        .agg(F.count(F.lit(1)).alias("_in_bin"))
-        .withColumn("_end", F.sum("_in_bin").over(upto))
-        .withColumn("_start", F.col("_end") - F.col("_in_bin"))
-        .withColumn("_total", F.sum("_in_bin").over(per_key))
+    edges = [F.col("_edges")[i] for i in range(len(shares))]
+    inside = reduce(lambda a, b: a | b, [F.col("_v").between(lo, hi) for lo, hi in zip(edges[::2], edges[1::2], strict=True)])
+    span = reduce(lambda a, b: a + b, [(F.col("_v") > edge).cast("int") for edge in edges])
+    if keys:
+        placed = null_safe_join(values, brackets, names, "inner")
+    else:
+        placed = values.withColumns({c: brackets.select(c).scalar() for c in ("_total", "_edges")})
+    cells = (
+        placed.select(*names, "_total", span.alias("_span"), F.when(inside, F.col("_v")).alias("_one"), "_v")
+        .groupBy(*names, "_total", "_span", "_one")
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
     )
-    ranks = {n: _ranks(q, F.col("_total"), method) for n, q in quantiles.items()}
+    ranked = with_running(cells, names, ["_least"], F.col("_span"), F.col("_n"), "_upto", "sum")
+    first, last = F.col("_upto") - F.col("_n"), F.col("_upto") - 1
 
-    def inside(rank: Column, start: str, end: str) -> Column:
-        return (rank >= F.col(start)) & (rank < F.col(end))
+    def at(rank: Column) -> Column:
+        """The value at a rank: a cell's only value, or, next to a bracket, the end of a span."""
+        own = F.when(rank == first, F.col("_least")).when((rank == last) | F.col("_one").isNotNull(), F.col("_most"))
+        return F.max(F.when((rank >= first) & (rank <= last), own))
 
-    wanted = reduce(
-        lambda a, b: a | b,
-        [inside(r, "_start", "_end") for lo, hi, _ in ranks.values() for r in (lo, hi)],
-    )
-    kept = bins.where(wanted).select(*names, "_bin", "_start", "_total")
-    if not keys:
-        # One group has at most two bins per quantile.
-        kept = F.broadcast(kept)
-    near = null_safe_join(values, kept, [*names, "_bin"], "inner")
-    counts = near.groupBy(*names, "_bin", "_start", "_total", "_v").agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    in_bin = (
-        Window.partitionBy(*names, "_bin")
-        .orderBy("_v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    ranked = counts.withColumn("_upto", F.col("_start") + F.sum("_n").over(in_bin)).withColumn(
-        "_from", F.col("_upto") - F.col("_n")
-    )
-    picks = []
-    for name, (lo, hi, _) in ranks.items():
-        picks.append(F.max(F.when(inside(lo, "_from", "_upto"), F.col("_v"))).alias(f"_lo_{name}"))
-        picks.append(F.max(F.when(inside(hi, "_from", "_upto"), F.col("_v"))).alias(f"_hi_{name}"))
+    ranks = {n: _ranks(q, F.col("_total"), methods[n]) for n, q in quantiles.items()}
+    picks = [at(rank).alias(f"_{end}_{n}") for n, (lo, hi, _) in ranks.items() for end, rank in (("lo", lo), ("hi", hi))]
     picked = ranked.groupBy(*names).agg(F.max("_total").alias("_total"), *picks)
     return picked.select(
         *keys,
         *[
-            (
-                F.col(f"_lo_{name}") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")) * weight
-            ).alias(name)
+            (F.col(f"_lo_{name}") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")) * weight).alias(name)
             for name, (_, _, weight) in ranks.items()
         ],
         F.col("_total").alias("n_values"),

@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fareflow.functions.times import seconds
 from fareflow.operators import quality
 from fareflow.operators.scd2 import empty_history, scd2_merge
 from fareflow.operators.upsert import replace_keys
 from fareflow.plans import marts
-from fareflow.schemas import DQ_RESULT
+from fareflow.schemas import DQ_RESULT, FACT_LOOKBACK_SEC
 from fareflow.sources.versions import KeyedTable, VersionedTable
 
 
@@ -78,14 +79,31 @@ class MartStore:
         dated = enriched.withColumn("requested_day", F.to_date("requested_at"))
         columns = [*marts.FACT_COLUMNS, "requested_day"]
         table = self._keyed_fact(dated.select(*columns).schema)
-        batch = marts.fact_batch(table.read(), enriched)
-        batch = batch.withColumn("requested_day", F.to_date("requested_at"))
-        if table.state()[0] == 0:
-            table.append(batch, run)
+        bound = self.look_back(table)
+        if bound is None:
+            table.append(dated.select(*columns), run)
         else:
-            table.merge(batch, run, lambda old, new: replace_keys(old, new, ["ride_id"]))
+            # A ride keeps its request, so its stored row lies in the same days.
+            since, within = bound
+            batch = dated.where(F.col("requested_at") >= since).select(*columns)
+            table.merge(batch, run, lambda old, new: replace_keys(old, new, ["ride_id"]), within)
         return table.read().select(*marts.FACT_COLUMNS)
 
+    @staticmethod
+    def look_back(table: KeyedTable, lookback_sec: int = FACT_LOOKBACK_SEC) -> tuple[Column, Column] | None:
+        """Where a run of the fact begins: a moment, and the condition on the days that hold rows from then on.
+
+        That is the newest stored request less the look-back. The ledger names the newest day, and only that day's
+        partition is read; one moment reaches the driver. None for an empty table.
+        """
+        day = table.newest_partition("requested_day")
+        if day is None:
+            return None
+        since = F.max("requested_at") - seconds(lookback_sec)
+        found = table.read().where(F.col("requested_day") == F.lit(day)).agg(F.unix_micros(since).alias("at"), F.to_date(since).alias("day"))
+        at = found.first()
+        return F.timestamp_micros(F.lit(at["at"])), F.col("requested_day") >= F.lit(at["day"])
+
     def _snapshot_drivers(self, run: str, run_at: Column, drivers: DataFrame) -> DataFrame:
         schema = empty_history(drivers).withColumn("is_open", F.lit(True)).schema
         table = VersionedTable(self.spark, f"{self.root}/drivers_history", schema, ["is_open"])

@@ -11,7 +11,6 @@ from fareflow.functions.rides import rate
 from fareflow.functions.times import seconds
 from fareflow.operators.latest import latest_per_key
 from fareflow.operators.quantiles import exact_quantiles
-from fareflow.schemas import MATCH_BUCKET_SEC
 
 
 def city_list(cities: DataFrame) -> DataFrame:
@@ -119,9 +118,7 @@ def hour_over_hour(sessions: DataFrame) -> DataFrame:
     )
 
 
-def p95_time_to_match(
-    metrics_full: DataFrame, rides: DataFrame, bin_width: float = MATCH_BUCKET_SEC
-) -> DataFrame:
+def p95_time_to_match(metrics_full: DataFrame, rides: DataFrame) -> DataFrame:
     """Mean window p95 over the newest 15 minutes, or the fact's p95 when no window has one."""
     newest = metrics_full.agg(F.max("window_end")).scalar()
     mean = (
@@ -133,7 +130,7 @@ def p95_time_to_match(
     )
     # With a window value in hand this filter empties the fact at its scan.
     needed = rides.where(mean.scalar().isNull())
-    fallback = exact_quantiles(needed, (), "time_to_match_sec", {"p95_sec": 0.95}, bin_width)
+    fallback = exact_quantiles(needed, (), "time_to_match_sec", {"p95_sec": 0.95})
     return (
         mean.where(F.col("p95_sec").isNotNull())
         .withColumn("source", F.lit("1-minute windows"))

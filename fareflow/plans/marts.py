@@ -15,7 +15,7 @@ from fareflow.operators.quantiles import exact_quantiles
 from fareflow.operators.shifts import driver_shifts
 from fareflow.operators.slices import null_safe_join
 from fareflow.operators.upsert import replace_keys
-from fareflow.schemas import FACT_LOOKBACK_SEC, MATCH_BUCKET_SEC
+from fareflow.schemas import FACT_LOOKBACK_SEC
 
 # --- staging: renames and casts ------------------------------------------------------------
 
@@ -100,7 +100,7 @@ def merge_fact(
     return replace_keys(target, fact_batch(target, enriched, lookback_sec), ["ride_id"])
 
 
-def city_hourly(rides: DataFrame, bin_width: float = MATCH_BUCKET_SEC) -> DataFrame:
+def city_hourly(rides: DataFrame) -> DataFrame:
     """Hourly rollup of the ride fact per city, with exact quantiles of time to match."""
     keys = ("city_id", "city_name", "hour_start")
     rows = rides.withColumn("hour_start", F.date_trunc("HOUR", "requested_at"))
@@ -124,7 +124,6 @@ def city_hourly(rides: DataFrame, bin_width: float = MATCH_BUCKET_SEC) -> DataFr
         keys,
         "time_to_match_sec",
         {"p50_time_to_match_sec": 0.5, "p95_time_to_match_sec": 0.95},
-        bin_width,
     ).drop("n_values")
     return null_safe_join(rolled, quantiles, keys, "left")
 

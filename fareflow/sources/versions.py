@@ -117,6 +117,10 @@ class VersionedTable:
         _, schema = self.state(snapshot)
         return self._live_files(schema, snapshot).select(*schema.names)
 
+    def newest_partition(self, column: str) -> object:
+        """Largest value of a partition column, from the ledger alone; None for an empty table."""
+        return self.alive().agg(F.max(column)).first()[0]
+
     def inventory(self, snapshot: int | None = None) -> DataFrame:
         """Files, bytes and rows per partition; reads file footers, no data columns."""
         live = self._live_files(self.schema, snapshot).select(
@@ -247,19 +251,26 @@ class KeyedTable(VersionedTable):
         """First wins: only rows with new keys are added; nothing is rewritten."""
         return self.append(insert_missing(self.read(), rows, self.keys, order), batch)
 
+    def holding(self, rows: DataFrame, within: Column | None = None) -> DataFrame:
+        """Stored rows that have a key of ``rows``; ``within``, a condition on partition columns, prunes the scan."""
+        stored = self.read() if within is None else self.read().where(within)
+        return stored.join(rows.select(*self.keys), self.keys, "left_semi")
+
     def merge(
         self,
         rows: DataFrame,
         batch: str,
         combine: Callable[[DataFrame, DataFrame], DataFrame],
+        within: Column | None = None,
     ) -> int | None:
         """Replace touched partitions by ``combine(their rows, the batch)``.
 
-        Touched are the partitions of the batch and those that hold one of its keys.
+        Touched are the partitions of the batch and those that hold one of its keys. ``within`` says in which
+        partitions its keys can be, where that is known; the others are not looked at.
         """
         rows = rows.persist()
         try:
-            holds = self.read().join(rows.select(*self.keys), self.keys, "left_semi")
+            holds = self.holding(rows, within)
             touched = rows.select(*self.partition).unionByName(holds.select(*self.partition))
             return self.rewrite(touched.distinct(), lambda old: combine(old, rows), batch)
         finally:

@@ -7,10 +7,13 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fareflow import checks
 from fareflow.operators import latest, quantiles
+from fareflow.plans.build import MartStore
 from fareflow.sources.derived import DriverTables
+from fareflow.sources.versions import KeyedTable
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are not here")
@@ -25,10 +28,10 @@ def plan(df):
 def test_no_cross_join_and_no_single_task_window(spark, name):
     text = plan(checks.queries()[name](spark, SF))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    # A window without a partition pulls its input into one task. Two kinds may: the bins of a
-    # quantile over everything, and the row-count history with one row per day.
+    # A window without a partition pulls its input into one task. Two kinds may: the spans of a quantile over
+    # everything, two for each quantile and one more, and the row-count history with one row per day.
     unpartitioned = re.findall(r"windowspecdefinition\((\S+) (?:ASC|DESC)", text)
-    assert all(c.startswith(("_bin#", "run_at#")) for c in unpartitioned)
+    assert all(c.startswith(("_slice#", "run_at#")) for c in unpartitioned)
 
 
 @pytest.mark.parametrize(
@@ -70,7 +73,7 @@ def test_fold_shuffles_once(spark):
 
 def test_scan_reads_only_what_it_needs(spark):
     t = DriverTables(spark, SF)
-    rows = quantiles.exact_quantiles(t.table("lineitem"), ["l_returnflag"], "l_extendedprice", {"p": 0.5}, 100.0)
+    rows = quantiles.exact_quantiles(t.table("lineitem"), ["l_returnflag"], "l_extendedprice", {"p": 0.5})
     schemas = set(re.findall(r"ReadSchema: struct<([^>]*)>", plan(rows)))
     assert schemas == {"l_extendedprice:double,l_returnflag:string"}
     assert "PushedFilters: [IsNotNull(l_extendedprice)" in plan(rows)
@@ -82,6 +85,24 @@ def test_lookback_bound_is_a_scalar_subquery(spark):
     assert "Join" not in text
 
 
+def test_an_incremental_run_scans_the_look_back_days_only(spark, folder):
+    """Bound and touched keys of the fact come from the days the look-back reaches, not from the whole target."""
+    store = MartStore(spark, folder)
+    schema = T.StructType([T.StructField("ride_id", T.StringType()), T.StructField("requested_at", T.TimestampType()),
+                           T.StructField("requested_day", T.DateType())])
+    table = KeyedTable(spark, f"{folder}/t", schema, ["requested_day"], ["ride_id"])
+    assert store.look_back(table) is None
+    days = spark.range(20).select(F.col("id").cast("string").alias("ride_id"),
+                                  F.expr("timestamp'2026-01-01 00:20:00' + make_dt_interval(id)").alias("requested_at"))
+    table.append(days.withColumn("requested_day", F.to_date("requested_at")), "1")
+    since, within = store.look_back(table)
+    assert days.where(F.col("requested_at") >= since).count() == 1
+    stored = table.holding(days, within)
+    text = plan(stored)
+    assert re.search(r"PartitionFilters: \[[^\]]*requested_day#\d+ >= 2026-01-19", text), text
+    assert sorted(r["ride_id"] for r in stored.collect()) == ["18", "19"]
+
+
 def test_small_seed_is_broadcast_by_its_known_size(spark):
     t = DriverTables(spark, SF)
     named = t.ride_events.join(t.cities, "city_id").select(F.count("name"))

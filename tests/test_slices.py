@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -65,7 +67,7 @@ def test_islands(spark, rows):
 def test_exact_quantiles(spark, rows):
     df = spark.createDataFrame(rows, "key string, v double")
     wanted = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p100": 1.0}
-    got = {r["key"]: r for r in quantiles.exact_quantiles(df, ["key"], "v", wanted, 7.0).collect()}
+    got = {r["key"]: r for r in quantiles.exact_quantiles(df, ["key"], "v", wanted).collect()}
     assert set(got) == {k for k, _ in rows}
     for key, row in got.items():
         values = [v for k, v in rows if k == key]
@@ -76,9 +78,36 @@ def test_exact_quantiles(spark, rows):
 
 def test_quantiles_by_index_and_without_values(spark):
     df = spark.createDataFrame([(float(v),) for v in range(30)], "v double")
-    got = quantiles.exact_quantiles(df, (), "v", {"p95": 0.95}, 4.0, method="index").first()
+    got = quantiles.exact_quantiles(df, (), "v", {"p95": 0.95}, method="index").first()
     assert got["p95"] == 27.0  # sorted[int(0.95 * 30) - 1]
-    assert quantiles.exact_quantiles(df.where("v < 0"), (), "v", {"p": 0.5}, 4.0).count() == 0
+    assert quantiles.exact_quantiles(df.where("v < 0"), (), "v", {"p": 0.5}).count() == 0
+
+
+@pytest.mark.parametrize("accuracy", [10, 10_000])
+def test_quantiles_of_any_spread(spark, accuracy):
+    """Values over forty powers of ten, all alike, mostly alike; coarse sketches leave the quantiles exact."""
+    draw = random.Random(accuracy)
+    groups = {
+        "wide": [10.0 ** draw.uniform(-20, 20) for _ in range(3000)],
+        "alike": [7.25] * 2000,
+        "mostly": [1.0] * 1500 + [draw.random() for _ in range(1500)],
+        "few": [3.0, 1.0],
+    }
+    rows = [(k, v) for k, values in groups.items() for v in values]
+    draw.shuffle(rows)
+    df = spark.createDataFrame(rows, "key string, v double").repartition(7)
+    asked = {f"q{i}": q for i, q in enumerate((0.0, 0.01, 0.5, 0.951, 1.0))} | {"index": 0.95}
+    methods = dict.fromkeys(asked, "linear") | {"index": "index"}
+    got = quantiles.exact_quantiles(df, ["key"], "v", asked, methods, accuracy=accuracy).collect()
+    assert sorted(r["key"] for r in got) == sorted(groups)
+    for row in got:
+        values = sorted(groups[row["key"]])
+        assert row["index"] == values[max(int(0.95 * len(values)) - 1, 0)]
+        for name, q in asked.items():
+            if name != "index":
+                assert row[name] == pytest.approx(float(np.quantile(values, q)), rel=1e-9)
+    everything = quantiles.exact_quantiles(df, (), "v", {"p": 0.5}, accuracy=accuracy).first()
+    assert everything["p"] == pytest.approx(float(np.median([v for _, v in rows])), rel=1e-9)
 
 
 def test_histogram_and_bucket_quantiles(spark):
