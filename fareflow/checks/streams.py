@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareflow.checks.analytics import (
@@ -10,6 +13,7 @@ from fareflow.checks.analytics import (
     FACT,
     FACT_USES,
     INGESTED,
+    LATE_SQL,
     METRICS,
     PAID_SQL,
     PING_ORDER,
@@ -27,6 +31,7 @@ from fareflow.plans import marts
 from fareflow.plans.build import MartStore
 from fareflow.session import work_dir
 from fareflow.sources.derived import (
+    CTES,
     DriverTables,
     numbered_events,
     to_payments,
@@ -37,6 +42,8 @@ from fareflow.sources.derived import (
 from fareflow.sources.lake import Lake
 from fareflow.sources.versions import KeyedTable, VersionedTable
 from fareflow.streaming import jobs
+from fareflow.streaming.commits import BatchTables
+from fareflow.streaming.feed import RideFeed
 from fareflow.streaming.sessionizer import sessionize
 from fareflow.streaming.sources import file_stream
 
@@ -44,15 +51,23 @@ from fareflow.streaming.sources import file_stream
 FILES = 4
 
 
+#: Order of arrival of the driver's events, and the batch of an arrival when it is cut evenly.
+ARRIVAL = "event_id + (event_id * 7919) % 97"
+
+
 def _stream(t: DriverTables, by: str = "ts", files: int = FILES) -> DataFrame:
-    """The whole events table as a file stream of ``files`` micro-batches, in order of ``by``.
+    """The whole events table as a file stream of ``files`` micro-batches, in order of ``by`` or, evenly, of arrival.
 
     In order of time each batch follows the one before, so nothing is late; in order of ``event_id`` every batch
     spans the whole time.
     """
     events = t.spark.read.parquet(f"{t.sf_dir}/events.parquet")
     folder = work_dir(t.spark, "events")
-    parts = events.repartitionByRange(files, by).withColumn("part", F.spark_partition_id())
+    if by == ARRIVAL:
+        last = events.agg(F.max(F.expr(ARRIVAL))).scalar()
+        parts = events.withColumn("part", F.floor(F.expr(ARRIVAL) * files / (last + 1)).cast("int"))
+    else:
+        parts = events.repartitionByRange(files, by).withColumn("part", F.spark_partition_id())
     parts.write.partitionBy("part").parquet(f"{folder}/parts")
     for n in range(files):  # one file after the other, since a file stream goes by their age
         one = t.spark.read.schema(events.schema).parquet(f"{folder}/parts/part={n}")
@@ -106,9 +121,9 @@ def stream_ping_sessions(t: DriverTables) -> DataFrame:
     return _run(t, jobs.ping_sessions_stream(to_pings(_stream(t))), "ping-sessions")
 
 
-@query("stream_sessions", f"SELECT {SESSION_COLUMNS} FROM sessions", ("sessions",))
-def stream_sessions(t: DriverTables) -> DataFrame:
-    """The stateful sessionizer, timeouts included.
+@query("stream_stateful_sessions", f"SELECT {SESSION_COLUMNS} FROM sessions", ("sessions",))
+def stream_stateful_sessions(t: DriverTables) -> DataFrame:
+    """The sessionizer with Spark's own state and watermark.
 
     Rides here last for days, so a batch border would time them out; one batch is what the fold equals.
     Borders, late rows and restarts are tested on rides of real length.
@@ -158,19 +173,19 @@ def stream_match_histogram(t: DriverTables) -> DataFrame:
     return _run(t, jobs.match_histogram_stream(_copied_sessions(t)), "match-histogram")
 
 
-def _split(t: DriverTables) -> tuple[jobs.BatchTable, jobs.BatchTable]:
+def _split(t: DriverTables, checkpoints: int = 1) -> BatchTables:
     folder = work_dir(t.spark, "split")
-    clean = jobs.BatchTable(t.spark, f"{folder}/clean", "sink")
-    dead = jobs.BatchTable(t.spark, f"{folder}/dead", "sink")
+    tables = BatchTables(t.spark, f"{folder}/tables", "sink")
     wire = to_wire(to_ride_events(_stream(t))).drop("k")
-    write = jobs.split_batch(clean, dead, "sink", f"{folder}/checkpoint")
-    jobs.start(wire, f"{folder}/checkpoint", foreach_batch=write).awaitTermination()
-    return clean, dead
+    for n in range(checkpoints):
+        at = f"{folder}/checkpoint-{n}"
+        jobs.start(wire, at, foreach_batch=jobs.split_batch(tables, at)).awaitTermination()
+    return tables
 
 
 @query("stream_split_clean", f"SELECT {EVENT_COLUMNS} FROM ride_events WHERE k % 13 > 3", ("ride_events",))
 def stream_split_clean(t: DriverTables) -> DataFrame:
-    return _split(t)[0].read().drop("batch", "kafka_partition", "kafka_offset")
+    return _split(t).read("clean").drop("batch", "kafka_partition", "kafka_offset")
 
 
 @query(
@@ -181,9 +196,9 @@ def stream_split_clean(t: DriverTables) -> DataFrame:
 )
 def stream_split_ledger(t: DriverTables) -> DataFrame:
     """Positions cover poison too, and the dead letters lie beside them."""
-    _, dead = _split(t)
-    letters = dead.read().groupBy("partition").agg(F.count(F.lit(1)).alias("n_dead"))
-    return dead.ledger().join(letters, "partition").select(
+    tables = _split(t)
+    letters = tables.read("dead").groupBy("partition").agg(F.count(F.lit(1)).alias("n_dead"))
+    return tables.ledger().join(letters, "partition").select(
         "consumer_group", "topic", "partition", "kafka_offset", "n_dead"
     )
 
@@ -195,16 +210,131 @@ def stream_split_ledger(t: DriverTables) -> DataFrame:
 )
 def sink_after_new_checkpoint(t: DriverTables) -> DataFrame:
     """Two queries with checkpoints of their own fill one table: neither's batches replace the other's."""
-    folder = work_dir(t.spark, "two")
-    clean, dead = (jobs.BatchTable(t.spark, f"{folder}/{name}", "sink") for name in ("clean", "dead"))
-    wire = to_wire(to_ride_events(_stream(t))).drop("k")
+    rows = _split(t, checkpoints=2).read("clean").drop("batch", "kafka_partition", "kafka_offset")
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).cast("int").alias("n"))
+
+
+# --- late rows and the feed --------------------------------------------------------------------
+
+
+@query("stream_late_events", f"SELECT *, CAST(2 * count(*) AS INTEGER) AS n FROM ({LATE_SQL}) GROUP BY ALL", ("ride_events",))
+def stream_late_events(t: DriverTables) -> DataFrame:
+    """Rows behind their partition's watermark, over four batches in order of arrival; a second checkpoint adds its own."""
+    folder = work_dir(t.spark, "late")
+    events = to_ride_events(_stream(t, by=ARRIVAL))
     for n in range(2):
         at = f"{folder}/checkpoint-{n}"
-        jobs.start(wire, at, foreach_batch=jobs.split_batch(clean, dead, "sink", at)).awaitTermination()
-    rows = clean.read().drop("batch", "kafka_partition", "kafka_offset")
+        late = jobs.LateOutput(t.spark, f"{folder}/late", at)
+        jobs.start(events, at, foreach_batch=late).awaitTermination()
+    rows = late.read()
     return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).cast("int").alias("n"))
 
 
+#: The feed's rides in SQL: in which of four batches a ride closes, and the fold of its events up to that batch.
+FEED = {
+    "fed": f"""SELECT *, CAST(floor(({ARRIVAL.replace('event_id', 'source_id')}) * {FILES} / (SELECT max({ARRIVAL.replace('event_id', 'source_id')}) + 1 FROM ride_events)) AS INTEGER) AS b
+  FROM ride_events""",
+    "fed_clean": "SELECT * FROM fed WHERE k % 13 > 3",
+    "as_of": f"""SELECT e.*, u AS upto, row_number() OVER (PARTITION BY ride_id, event_type, u ORDER BY kafka_offset DESC) AS rn
+  FROM fed_clean e JOIN range({FILES}) AS upto(u) ON b <= u""",
+    "ride_as_of": """SELECT ride_id, kafka_partition, upto, max(event_ts) FILTER (rn = 1) AS last_ts,
+  bool_or(event_type IN ('completed', 'cancelled')) AS ended FROM as_of GROUP BY ride_id, kafka_partition, upto""",
+    "partition_as_of": """SELECT kafka_partition, upto, max(event_ts) AS newest, bool_or(b = upto) AS has_input
+  FROM as_of GROUP BY kafka_partition, upto""",
+    "closing": """SELECT ride_id, min(upto) AS closed_in FROM ride_as_of JOIN partition_as_of USING (kafka_partition, upto)
+  WHERE ended OR (has_input AND newest > last_ts + INTERVAL 2 HOUR) GROUP BY ride_id""",
+    "fed_events": "SELECT e.* FROM fed_clean e JOIN closing USING (ride_id) WHERE b <= closed_in",
+    "fed_slots": CTES["slots"].replace("ride_events", "fed_events"),
+    "fed_folded": CTES["folded"].replace("slots", "fed_slots"),
+    "fed_timed": CTES["timed"].replace("FROM folded", "FROM fed_folded"),
+    "fed_sessions": CTES["sessions"].partition("WHERE")[0].replace("FROM timed", "FROM fed_timed"),
+}
+
+
+class Interrupted(RuntimeError):
+    """A job that is lost on purpose."""
+
+
+class FragileTables(BatchTables):
+    """Tables whose writer is lost once before, and once after, a batch's ledger entry is written."""
+
+    def __init__(self, spark: SparkSession, root: str, consumer_group: str) -> None:
+        super().__init__(spark, root, consumer_group)
+        self.losses = [("1", "before"), ("2", "after")]
+
+    def commit(self, batch: str, entry: DataFrame) -> None:
+        when = [w for n, w in self.losses if batch.endswith(f"-{n}")]
+        self.losses = [loss for loss in self.losses if not batch.endswith(f"-{loss[0]}")]
+        if when == ["before"]:
+            raise Interrupted(batch)
+        super().commit(batch, entry)
+        if when == ["after"]:
+            raise Interrupted(batch)
+
+
+def _feed(t: DriverTables, tables: type[BatchTables] = BatchTables, runs: int = 1) -> BatchTables:
+    """The feed over four batches in order of arrival, started again on its checkpoint after each loss."""
+    folder = work_dir(t.spark, "feed")
+    feed = RideFeed(t.spark, f"{folder}/tables", f"{folder}/checkpoint")
+    feed.tables = tables(t.spark, f"{folder}/tables", "sessionizer")
+    wire = to_wire(to_ride_events(_stream(t, by=ARRIVAL))).drop("k")
+    for n in range(runs):
+        query = jobs.start(wire, f"{folder}/checkpoint", foreach_batch=feed)
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            if n == runs - 1:
+                raise
+    return feed.tables
+
+
+@query("stream_sessions", f"SELECT {SESSION_COLUMNS} FROM fed_sessions", ("ride_events",), FEED)
+def stream_sessions(t: DriverTables) -> DataFrame:
+    """Sessions of the feed over four batches, timeouts by each partition's own watermark included."""
+    rows = _feed(t).read("sessions").drop("batch")
+    return rounded(rows, "haversine_distance_km", "avg_speed_kmh")
+
+
+@query(
+    "stream_feed_accounts",
+    """SELECT kafka_partition, count(*) AS n_messages, count(*) FILTER (k % 13 <= 3) AS n_letters,
+  count(*) FILTER (k % 13 > 3) AS n_mirror, count(*) FILTER (k % 13 > 3 AND b > closed_in) AS n_ignored,
+  count(DISTINCT ride_id) FILTER (k % 13 > 3 AND closed_in IS NOT NULL) AS n_sessions,
+  count(DISTINCT ride_id) FILTER (k % 13 > 3 AND closed_in IS NULL) AS n_open, max(kafka_offset) AS kafka_offset
+  FROM fed LEFT JOIN closing USING (ride_id) GROUP BY kafka_partition""",
+    ("ride_events",),
+    FEED,
+)
+def stream_feed_accounts(t: DriverTables) -> DataFrame:
+    """Every message is in one place: a letter, a row of a session or open ride, or a row that came after its ride closed."""
+    tables = _feed(t)
+    mirror = tables.read("mirror").select("ride_id", "kafka_partition")
+    at = mirror.distinct()
+    newest = tables.last_batch(tables.entries().agg(F.max("stream")).first()[0], 2**31)
+
+    def counted(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("kafka_partition").agg(F.count(F.lit(1)).alias(name))
+
+    letters = tables.read("letters").select(F.col("partition").alias("kafka_partition"))
+    parts = [
+        counted(mirror, "n_mirror"),
+        counted(letters, "n_letters"),
+        counted(tables.read("ignored"), "n_ignored"),
+        counted(tables.read("sessions").join(at, "ride_id"), "n_sessions"),
+        counted(tables.read("open").where(F.col("batch") == newest), "n_open"),
+        tables.ledger().select(F.col("partition").alias("kafka_partition"), "kafka_offset"),
+    ]
+    rows = reduce(lambda a, b: a.join(b, "kafka_partition", "left"), parts).na.fill(0)
+    return rows.withColumn("n_messages", F.col("n_mirror") + F.col("n_letters"))
+
+
+@query("stream_resume", f"SELECT {SESSION_COLUMNS} FROM fed_sessions", ("ride_events",), FEED)
+def stream_resume(t: DriverTables) -> DataFrame:
+    """The feed, lost once between a batch's rows and its ledger entry and once right after the entry, and started again."""
+    rows = _feed(t, FragileTables, runs=3).read("sessions").drop("batch")
+    return rounded(rows, "haversine_distance_km", "avg_speed_kmh")
+
+
 # --- archive -----------------------------------------------------------------------------------
 
 

@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fareflow.functions.times import seconds, whole_seconds
-from fareflow.operators import joins, offsets, poison, shifts, windows
+from fareflow.operators import joins, poison, shifts, windows
 from fareflow.operators.sessions import with_session_ts
 from fareflow.schemas import WATERMARK_DELAY_SEC
 from fareflow.session import ROCKSDB
 from fareflow.sources.lake import Lake
 from fareflow.sources.versions import KeyedTable
+from fareflow.streaming.commits import BatchTables, stream_id
+from fareflow.streaming.feed import late_rows
 
 DELAY = f"{WATERMARK_DELAY_SEC} seconds"
 
@@ -84,68 +83,18 @@ def run_to_table(stream: DataFrame, folder: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/out")
 
 
-# --- exactly-once sink -----------------------------------------------------------------------
+# --- exactly-once sinks ----------------------------------------------------------------------
 
 
-def stream_id(spark: SparkSession, checkpoint: str) -> str:
-    """The id that a checkpoint gives its query; a new checkpoint has a new one."""
-    text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").agg(F.concat_ws("", F.collect_list("value"))).first()[0]
-    return json.loads(text)["id"]
-
-
-class BatchTable:
-    """Rows and positions of each micro-batch, committed together.
-
-    A batch is named after its query and its number, so batches of another checkpoint lie beside it. Its rows
-    are written first and its offsets last; readers take only batches with offsets. A batch that is committed
-    is left as it is when it comes again, and one that was stopped in between is written anew.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, consumer_group: str) -> None:
-        self.spark = spark
-        self.rows_path = f"{root.rstrip('/')}/rows"
-        self.offsets_path = f"{root.rstrip('/')}/offsets"
-        self.consumer_group = consumer_group
-
-    def is_committed(self, batch: str) -> bool:
-        try:
-            return not self.spark.read.parquet(f"{self.offsets_path}/batch={batch}").isEmpty()
-        except AnalysisException as error:
-            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
-            return False
-
-    def write(self, rows: DataFrame, messages: DataFrame, batch: str) -> None:
-        if self.is_committed(batch):
-            return
-        rows.write.mode("overwrite").parquet(f"{self.rows_path}/batch={batch}")
-        done = offsets.batch_offsets(messages, self.consumer_group)
-        done.coalesce(1).write.mode("overwrite").parquet(f"{self.offsets_path}/batch={batch}")
-
-    def _committed(self) -> DataFrame:
-        return self.spark.read.parquet(self.offsets_path)
-
-    def read(self) -> DataFrame:
-        committed = self._committed().select("batch").distinct()
-        return self.spark.read.parquet(self.rows_path).join(committed, "batch", "left_semi")
-
-    def ledger(self) -> DataFrame:
-        done = self._committed()
-        return done.groupBy(*offsets.LEDGER_KEYS).agg(F.max("kafka_offset").alias("kafka_offset"))
-
-
-def split_batch(
-    clean: BatchTable, dead: BatchTable, consumer_group: str, checkpoint: str
-) -> Callable[[DataFrame, int], None]:
-    """A batch function that decodes wire messages once into a clean and a dead-letter table."""
+def split_batch(tables: BatchTables, checkpoint: str) -> Callable[[DataFrame, int], None]:
+    """A batch function that decodes wire messages once into the tables ``clean`` and ``dead``, committed together."""
 
     def write(messages: DataFrame, batch_id: int) -> None:
-        batch = f"{stream_id(clean.spark, checkpoint)}-{batch_id}"
         decoded = poison.decode_ride_events(messages).persist()
+        failed = poison.envelopes(decoded, tables.consumer_group, F.current_timestamp())
         try:
-            failed = poison.envelopes(decoded, consumer_group, F.current_timestamp())
-            dead.write(failed, decoded, batch)
-            clean.write(poison.clean_rows(decoded), decoded, batch)
+            rows = {"clean": poison.clean_rows(decoded), "dead": failed}
+            tables.write(stream_id(tables.spark, checkpoint), batch_id, rows, decoded)
         finally:
             decoded.unpersist()
 
@@ -176,48 +125,26 @@ def insert_batch(
 
 
 class LateOutput:
-    """Rows behind the watermark that earlier batches left, per source partition.
+    """Rows behind the watermark they met in their source partition, over the batches of a stream.
 
-    A batch is judged by the newest event times stored by the batches before it, so a replay
-    judges alike. Within one batch nothing is late; the row-exact form is the batch operator.
+    Within a batch the watermark runs along the offsets; the newest event times of the stream's earlier batches lie in the
+    ledger beside the late rows, so a batch that is run again judges alike, and another checkpoint starts anew.
     """
 
-    def __init__(self, spark: SparkSession, root: str, delay_sec: int = WATERMARK_DELAY_SEC) -> None:
-        self.spark = spark
-        self.late_path = f"{root.rstrip('/')}/late"
-        self.newest_path = f"{root.rstrip('/')}/newest"
-        self.delay_sec = delay_sec
-
-    def _before(self, batch_id: int) -> DataFrame:
-        schema = "kafka_partition int, newest timestamp, batch bigint"
-        try:
-            seen = self.spark.read.schema(schema).parquet(self.newest_path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            seen = self.spark.createDataFrame([], schema)
-        return (
-            seen.where(F.col("batch") < batch_id)
-            .groupBy("kafka_partition")
-            .agg((F.max("newest") - seconds(self.delay_sec)).alias("watermark"))
-        )
+    def __init__(
+        self, spark: SparkSession, root: str, checkpoint: str, delay_sec: int = WATERMARK_DELAY_SEC, topic: str = "rides.events"
+    ) -> None:
+        self.tables = BatchTables(spark, root, "late")
+        self.checkpoint, self.delay_sec, self.topic = checkpoint, delay_sec, topic
 
     def __call__(self, events: DataFrame, batch_id: int) -> None:
-        late = (
-            events.join(self._before(batch_id), "kafka_partition")
-            .where(F.col("event_ts") < F.col("watermark"))
-            .select(
-                "event_id",
-                "ride_id",
-                "event_type",
-                "event_ts",
-                "city_id",
-                whole_seconds(F.col("event_ts"), F.col("watermark")).alias("late_by_sec"),
-            )
-        )
-        late.write.mode("overwrite").parquet(f"{self.late_path}/batch={batch_id}")
+        stream = stream_id(self.tables.spark, self.checkpoint)
+        before = self.tables.newest_times(stream, batch_id)
         newest = events.groupBy("kafka_partition").agg(F.max("event_ts").alias("newest"))
-        newest.coalesce(1).write.mode("overwrite").parquet(f"{self.newest_path}/batch={batch_id}")
+        read = events.select(
+            F.lit(self.topic).alias("topic"), F.col("kafka_partition").alias("partition"), F.col("kafka_offset").alias("offset")
+        )
+        self.tables.write(stream, batch_id, {"late": late_rows(events, before, self.delay_sec)}, read, newest)
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.late_path).drop("batch")
+        return self.tables.read("late").drop("batch")

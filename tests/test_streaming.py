@@ -10,6 +10,8 @@ from fareflow.operators.sessions import build_sessions, with_session_ts
 from fareflow.sources.lake import Lake
 from fareflow.sources.versions import KeyedTable
 from fareflow.streaming import jobs
+from fareflow.streaming.commits import BatchTables, stream_id
+from fareflow.streaming.feed import RideFeed
 from fareflow.streaming.sessionizer import sessionize
 from fareflow.streaming.sources import file_stream, kafka_options
 from tests.rides import END, MATCH, START, T0, collect, event, events_df, full_ride
@@ -151,16 +153,23 @@ def test_a_new_checkpoint_replaces_and_skips_nothing(spark, folder):
     assert lake.read().count() == 10
 
 
-def test_late_output_by_batches_and_replay(spark, folder):
-    late = jobs.LateOutput(spark, folder)
-    first = events_df(spark, [event("requested", T0 + 600_000, "new"), event("requested", T0, "early")])
-    second = events_df(spark, [event("requested", T0 + 70_000, "old"), event("matched", T0 + 580_000, "edge"), event("matched", T0 + 570_000, "on")])
-    late(first, 0)
-    late(second, 1)
-    late(second, 1)
-    assert [(r["ride_id"], r["late_by_sec"]) for r in late.read().collect()] == [("old", 500)]
-    late(first, 0)
-    assert late.read().count() == 1, "a replayed first batch is judged as it was"
+def test_late_output_is_row_exact_over_batches_and_replays(spark, folder):
+    """The watermark runs along the offsets, within a batch and across; each source partition has its own."""
+    at, other = checkpoint(spark, f"{folder}/cp"), checkpoint(spark, f"{folder}/cp2")
+    late = jobs.LateOutput(spark, f"{folder}/late", at)
+    first = [event("requested", T0 + 600_000, "new"), event("requested", T0, "early"), event("requested", T0, "far", kafka_partition=1)]
+    second = [event("requested", T0 + 70_000, "old"), event("matched", T0 + 580_000, "edge"), event("matched", T0 + 570_000, "on"),
+              event("matched", T0 + 800_000, "ahead"), event("matched", T0 + 700_000, "behind"), event("matched", T0 + 1, "far", kafka_partition=1)]
+    batches = [events_df(spark, first), events_df(spark, second, len(first))]
+    late(batches[0], 0)
+    late(batches[1], 1)
+    late(batches[1], 1)
+    wanted = [("behind", 70), ("early", 570), ("old", 500)]
+    assert sorted((r["ride_id"], r["late_by_sec"]) for r in late.read().collect()) == wanted
+    again = jobs.LateOutput(spark, f"{folder}/late", other)
+    again(batches[1], 0)
+    found = sorted((r["ride_id"], r["late_by_sec"]) for r in late.read().collect())
+    assert found == sorted([*wanted, ("behind", 70)]), "another checkpoint judges by its own batches and replaces nothing"
 
 
 def wire(spark, values, offset=0):
@@ -169,23 +178,24 @@ def wire(spark, values, offset=0):
 
 
 def test_split_sink_survives_replay_and_loss(spark, folder):
-    clean = jobs.BatchTable(spark, f"{folder}/clean", "g")
-    dead = jobs.BatchTable(spark, f"{folder}/dead", "g")
-    write = jobs.split_batch(clean, dead, "g", checkpoint(spark, f"{folder}/cp"))
-    other = jobs.split_batch(clean, dead, "g", checkpoint(spark, f"{folder}/cp2"))
+    tables = BatchTables(spark, f"{folder}/t", "g")
+    write = jobs.split_batch(tables, checkpoint(spark, f"{folder}/cp"))
+    other = jobs.split_batch(tables, checkpoint(spark, f"{folder}/cp2"))
     good = b"\x00" + _body("a")
     write(wire(spark, [good, b"POISON"], 10), 0)
     write(wire(spark, [good, b"POISON"], 10), 0)
-    assert clean.read().count() == 1 and dead.read().count() == 1
-    assert dead.ledger().first()["kafka_offset"] == 11, "a poison offset counts as consumed"
-    # Rows of batch 1 are written, the writer is lost before its offsets: nothing of it is visible.
-    name = jobs.stream_id(spark, f"{folder}/cp")
-    clean.read().drop("batch").write.mode("overwrite").parquet(f"{clean.rows_path}/batch={name}-1")
-    assert clean.read().count() == 1 and clean.ledger().first()["kafka_offset"] == 11
+    assert tables.read("clean").count() == 1 and tables.read("dead").count() == 1
+    assert tables.ledger().first()["kafka_offset"] == 11, "a poison offset counts as consumed"
+    # One table of batch 1 is written, then all; the writer is lost before the ledger: neither table shows any of it.
+    name = stream_id(spark, f"{folder}/cp")
+    for table in ("clean", "dead"):
+        tables.read(table).drop("batch").write.parquet(tables.path(table, f"{name}-1"))
+        assert tables.read("clean").count() == 1 and tables.read("dead").count() == 1
+        assert tables.ledger().first()["kafka_offset"] == 11
     write(wire(spark, [good], 12), 1)
-    assert clean.read().count() == 2 and clean.ledger().first()["kafka_offset"] == 12
+    assert tables.read("clean").count() == 2 and tables.read("dead").count() == 1 and tables.ledger().first()["kafka_offset"] == 12
     other(wire(spark, [good, good], 13), 0)
-    assert clean.read().count() == 4 and clean.ledger().first()["kafka_offset"] == 14
+    assert tables.read("clean").count() == 4 and tables.ledger().first()["kafka_offset"] == 14
 
 
 def checkpoint(spark, folder):
@@ -201,13 +211,101 @@ def _body(ride):
     return json.dumps({k: v for k, v in event("requested", T0, ride).items() if v is not None}).encode()
 
 
+def wired(spark, events, offset):
+    """Wire messages of events, in one partition each, offsets rising."""
+    import json
+
+    rows = [
+        ("rides.events", e.get("kafka_partition", 0), offset + i, None,
+         bytearray(b"\x00" + json.dumps({k: v for k, v in e.items() if v is not None and k != "kafka_partition"}).encode()))
+        for i, e in enumerate(events)
+    ]
+    return spark.createDataFrame(rows, "topic string, partition int, offset long, key binary, value binary")
+
+
+def feed_of(spark, folder, batches, **options):
+    """The feed after some batches, each handed over twice."""
+    feed = RideFeed(spark, f"{folder}/feed", checkpoint(spark, f"{folder}/cp"), **options)
+    offset = 0
+    for number, events in enumerate(batches):
+        for _ in range(2):
+            feed(wired(spark, events, offset), number)
+        offset += len(events)
+    return feed
+
+
+def states(feed):
+    return sorted((r["ride_id"], r["terminal_state"], r["event_seq"]) for r in feed.tables.read("sessions").collect())
+
+
+def test_feed_folds_rides_over_batches(spark, folder):
+    """The same sessions as the batch fold; what comes after a ride closed is kept apart."""
+    ride, more = full_ride("a"), full_ride("b", 60_000)
+    feed = feed_of(spark, folder, [[*ride[1:3], more[0]], [ride[0], ride[4], more[3]], [ride[3], more[1]], more[2:]])
+    assert states(feed) == [("a", "completed", 4), ("b", "completed", 5)]
+    assert ids(feed.tables.read("ignored"), "event_id") == ["a.4"]
+    got = {r["ride_id"]: r for r in collect(feed.tables.read("sessions").drop("batch"))}
+    want = {r["ride_id"]: r for r in collect(build_sessions(events_df(spark, [*ride[:3], ride[4], *more])))}
+    assert got == want
+    assert feed.tables.read("mirror").count() == 11 and feed.tables.ledger().first()["kafka_offset"] == 10
+
+
+def test_feed_times_out_by_each_partitions_own_watermark(spark, folder):
+    """Partitions drift apart by hours: the fast one closes nothing of the slow one, and one without input closes nothing."""
+    hours = 3600 * 1000
+    slow = [event("requested", T0, "slow", kafka_partition=1), event("matched", T0 + 10, "slow", kafka_partition=1)]
+    batches = [
+        [event("requested", T0, "fast"), event("requested", T0 + 2 * hours, "exact"), slow[0]],
+        [event("requested", T0 + 9 * hours, "later"), event("requested", T0 + 9 * hours, "sad")],
+        [slow[1]],
+        [event("requested", T0 + 11 * hours + 1, "last"), event("matched", T0, "fast")],
+    ]
+    feed = feed_of(spark, folder, batches)
+    assert states(feed) == [("exact", "abandoned", 1), ("fast", "abandoned", 1), ("later", "abandoned", 1), ("sad", "abandoned", 1)]
+    closed_in = {r["ride_id"]: int(r["batch"].rsplit("-", 1)[1]) for r in feed.tables.read("sessions").collect()}
+    assert closed_in == {"fast": 1, "exact": 1, "later": 3, "sad": 3}
+    newest = feed.tables.last_batch(stream_id(spark, f"{folder}/cp"), 100)
+    assert ids(feed.tables.read("open").where(F.col("batch") == newest)) == ["last", "slow"]
+    assert ids(feed.tables.read("ignored")) == ["fast"]
+    late = sorted((r["ride_id"], r["late_by_sec"]) for r in feed.tables.read("late").collect())
+    assert late == [("fast", 11 * 3600 - 30)]
+
+
+def test_feed_without_clean_messages_and_with_a_short_memory(spark, folder):
+    ride = full_ride("a")
+    late = event("cancelled", T0 + 8 * 3600 * 1000, "b")
+    feed = feed_of(spark, folder, [ride, [event("teleported", T0, "x")], [late], [ride[0]]], remember_sec=3600)
+    assert states(feed) == [("a", "abandoned", 1), ("a", "completed", 5), ("b", "cancelled", 1)], "a ride closed long ago is forgotten"
+    assert feed.tables.read("letters").count() == 1 and feed.tables.read("ignored").count() == 0
+    closed_in = {(r["ride_id"], r["event_seq"]): int(r["batch"].rsplit("-", 1)[1]) for r in feed.tables.read("sessions").collect()}
+    assert closed_in == {("a", 5): 0, ("b", 1): 2, ("a", 1): 3}
+
+
+def test_a_lost_feed_batch_shows_in_no_table(spark, folder):
+    ride = full_ride("a")
+    feed = feed_of(spark, folder, [ride[:2]])
+    stop = RuntimeError("lost")
+
+    def lost(batch, entry):
+        raise stop
+
+    commit, feed.tables.commit = feed.tables.commit, lost
+    with pytest.raises(RuntimeError, match="lost"):
+        feed(wired(spark, ride[2:], 2), 1)
+    assert feed.tables.read("mirror").count() == 2 and feed.tables.read("sessions").count() == 0
+    assert feed.tables.ledger().first()["kafka_offset"] == 1
+    feed.tables.commit = commit
+    feed(wired(spark, ride[2:], 2), 1)
+    assert states(feed) == [("a", "completed", 5)] and feed.tables.ledger().first()["kafka_offset"] == 4
+
+
 def test_archive_from_a_stream(spark, folder):
-    feed(spark, folder, [full_ride("a"), [event("requested", START, "b", payload_version=2, promo_code="SAVE5")]])
+    feed(spark, folder, [full_ride("a"), [event("requested", START, "b", payload_version=2, promo_code="SAVE20")]])
     lake = Lake(spark, f"{folder}/lake")
     source = stream(spark, folder)
     jobs.start(source, f"{folder}/cp", foreach_batch=jobs.archive_batch(lake, f"{folder}/cp")).awaitTermination()
     assert lake.state()[0] == 2 and lake.read().count() == 6
-    assert lake.read().where("promo_code = 'SAVE5'").count() == 1
+    assert lake.read().where("promo_code = 'SAVE20'").count() == 1
 
 
 def test_kafka_options_start_early_and_read_committed():
