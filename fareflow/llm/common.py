@@ -24,6 +24,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written as by ``written``, packed tighter, and the folder, which ``dropped`` removes again."""
+    path = work_dir(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    # The step's shuffle files go once the driver has forgotten the step.
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def dropped(spark: SparkSession, *paths: str) -> None:
+    """Remove folders of steps whose results have been written on."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+
+
 def text_key(text: str = "text") -> Column:
     """64-bit hash of a text; null hashes like no other text of its length can be told from ''."""
     return F.xxhash64(F.col(text), F.col(text).isNull())

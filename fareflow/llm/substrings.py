@@ -21,12 +21,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import parts_for, written
+from fareflow.llm.common import dropped, kept, parts_for
 from fareflow.llm.fm_index import FMIndex
 from fareflow.llm.pieces import ragged, runs, sums
 
 #: Words of the hashed runs among which a window's minimizer is the least.
-MER = 5
+MER = 4
 #: Windows of one run at most, different runs of one minimizer at most, runs of a shard on average.
 RUN_WINDOWS, MANY_RUNS, SHARD_RUNS = 64, 1_000, 60_000
 #: Bytes of texts worked on at a time (or one longer text).
@@ -92,21 +92,21 @@ def runs_of_windows(hashes: np.ndarray, sizes: np.ndarray, window: int) -> tuple
 
 
 def document_runs(docs: DataFrame, window: int) -> DataFrame:
-    """id, h1, h2 and the runs of each document: start (its first word), size (words), least (minimizer), digest."""
+    """id, h and the runs of each document: start (its first word), size (words), least (minimizer), digest."""
 
     def found(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts, start, end in runs(batch.column(3), BYTES_AT_ONCE):
+            for texts, start, end in runs(batch.column(2), BYTES_AT_ONCE):
                 words, sizes = words_of(texts)
                 first, size, least, digest, n_runs = runs_of_windows(word_hashes(words), sizes, window)
                 first = first - np.repeat(np.cumsum(sizes) - sizes, n_runs)
                 offsets = pa.array(np.append(0, np.cumsum(n_runs)).astype(np.int32))
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (first.astype(np.int32), size.astype(np.int32), least, digest)]
-                own = [batch.column(i).slice(start, end - start) for i in range(3)]
-                yield pa.RecordBatch.from_arrays([*own, *lists], ["id", "h1", "h2", "start", "size", "least", "digest"])
+                own = [batch.column(i).slice(start, end - start) for i in range(2)]
+                yield pa.RecordBatch.from_arrays([*own, *lists], ["id", "h", "start", "size", "least", "digest"])
 
     kind = dict(docs.dtypes)["id"]
-    schema = f"id {kind}, h1 long, h2 long, start array<int>, size array<int>, least array<long>, digest array<int>"
+    schema = f"id {kind}, h int, start array<int>, size array<int>, least array<long>, digest array<int>"
     return docs.mapInArrow(found, schema)
 
 
@@ -115,9 +115,9 @@ def run_texts(docs: DataFrame, window: int) -> DataFrame:
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts, start, end in runs(batch.column(3), BYTES_AT_ONCE):
+            for texts, start, end in runs(batch.column(2), BYTES_AT_ONCE):
                 words, sizes = words_of(texts)
-                chosen = batch.column(4).slice(start, end - start)
+                chosen = batch.column(3).slice(start, end - start)
                 each = chosen.flatten()
                 at, size, many, least = (each.field(i).to_numpy(zero_copy_only=False) for i in range(4))
                 owner = np.repeat(np.arange(end - start), chosen.value_lengths().to_numpy())
@@ -128,13 +128,13 @@ def run_texts(docs: DataFrame, window: int) -> DataFrame:
                 base = (np.cumsum(sizes) - sizes)[owner]
                 offsets = pa.array(np.append(0, np.cumsum(size)).astype(np.int32))
                 lists = pa.ListArray.from_arrays(offsets, words.take(pa.array(ragged(base + at, size))))
-                own = [batch.column(i).slice(start, end - start).take(pa.array(owner)) for i in range(3)]
+                own = [batch.column(i).slice(start, end - start).take(pa.array(owner)) for i in range(2)]
                 out = [*own, pa.array(at.astype(np.int32)), pa.array(size.astype(np.int32)), pc.binary_join(lists, " "), pa.array(least), pa.array(many)]
-                yield pa.RecordBatch.from_arrays(out, ["id", "h1", "h2", "start", "size", "words", "least", "many"])
+                yield pa.RecordBatch.from_arrays(out, ["id", "h", "start", "size", "words", "least", "many"])
 
     kind = dict(docs.dtypes)["id"]
-    schema = f"id {kind}, h1 long, h2 long, start int, size int, words string, least long, many boolean"
-    return docs.select("id", "h1", "h2", "text", "chosen").mapInArrow(cut, schema)
+    schema = f"id {kind}, h int, start int, size int, words string, least long, many boolean"
+    return docs.select("id", "h", "text", "chosen").mapInArrow(cut, schema)
 
 
 def intervals(places: np.ndarray, window: int) -> list[tuple[int, int]]:
@@ -226,31 +226,35 @@ def remove_repeated(
     from each other. Rows with a null id lose nothing and take nothing. A null text has no words; a text of fewer words than a
     window stays whole. Texts of any length are taken whole. An empty table gives an empty table.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
-    rows = rows.select("id", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"), "text")
-    key = ["id", "h1", "h2"]
+    spark, text, key = docs.sparkSession, F.coalesce(F.col(text_col), F.lit("")), ["id", "h"]
+    # Rows with one id are told apart by a hash of their texts.
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.hash(text).alias("h"), text.alias("text"))
     named = rows.where("id is not null")
-    found = written(document_runs(named, window).where("size(start) > 0"), "document-runs")
-    kinds = found.select(F.explode(F.arrays_zip("least", "digest")).alias("run")).groupBy("run.least", "run.digest").agg(F.count("*").alias("n"))
-    shared = kinds.groupBy("least").agg(F.sum("n").alias("n"), (F.count("*") > many_runs).alias("many")).where("n > 1")
-    each = found.select(*key, F.explode(F.arrays_zip("start", "size", "least")).alias("run")).select(*key, "run.*")
+    found, found_at = kept(document_runs(named, window).where("size(start) > 0"), "document-runs")
+    each = found.select(*key, F.explode(F.arrays_zip("start", "size", "least", "digest")).alias("run")).select(*key, "run.*")
+    many = (F.count("*") > many_runs) & (F.min("digest") != F.max("digest"))
+    shared = each.groupBy("least").agg(many.alias("many"), F.count("*").alias("n")).where("n > 1").drop("n")
+    shared, shared_at = kept(shared, "shared-minimizers")
     # Repeated rows of one document have the same runs: a set holds them once.
-    chosen = each.join(shared, "least").groupBy(*key).agg(F.collect_set(F.struct("start", "size", "many", "least")).alias("chosen"))
-    cut = run_texts(named.join(chosen, key), window)
+    chosen = each.drop("digest").join(shared, "least").groupBy(*key).agg(F.collect_set(F.struct("start", "size", "many", "least")).alias("chosen"))
+    chosen, chosen_at = kept(chosen, "chosen-runs")
+    dropped(spark, found_at, shared_at)
     place = F.when(F.col("many"), F.xxhash64("words")).otherwise(F.col("least"))
-    cut = written(cut.select(*key, "start", "size", "words", place.alias("place")), "run-texts")
+    cut = run_texts(named.join(chosen, key), window)
+    cut, cut_at = kept(cut.select(*key, "start", "size", "words", place.alias("place")), "run-texts")
+    dropped(spark, chosen_at)
     distinct = cut.groupBy("words", "place").agg(F.min("id").alias("least_id"), F.max("id").alias("most_id"))
-    distinct = written(distinct, "distinct-runs")
+    distinct, distinct_at = kept(distinct, "distinct-runs")
     shards = parts_for(distinct.count(), shard_runs)
     indexed = distinct.withColumn("shard", F.pmod(F.hash("place"), F.lit(shards)))
-    lost = written(repeated_windows(indexed, window), "lost-words")
+    lost, lost_at = kept(repeated_windows(indexed, window), "lost-words")
+    dropped(spark, distinct_at)
     word_key = [F.xxhash64("words").alias("w1"), F.xxhash64(F.lit(1), "words").alias("w2")]
     lost, cut = lost.select(*word_key, "least_id", "lost"), cut.select(*key, "start", "size", *word_key)
     whole = F.array(F.struct(F.col("start").alias("a"), (F.col("start") + F.col("size")).alias("b")))
     moved = F.transform("lost", lambda r: F.struct((r["a"] + F.col("start")).alias("a"), (r["b"] + F.col("start")).alias("b")))
     ranges = cut.join(lost, ["w1", "w2"]).select(*key, F.explode(F.when(F.col("id") > F.col("least_id"), whole).otherwise(moved)).alias("range"))
-    by_doc = ranges.groupBy(*key).agg(F.collect_set("range").alias("lost"))
+    by_doc, _ = kept(ranges.groupBy(*key).agg(F.collect_set("range").alias("lost")), "lost-ranges")
+    dropped(spark, cut_at, lost_at)
     result = without_words(rows.join(by_doc, key, "left"))
     return result.select(F.col("id").alias(id_col), "n_words", "n_removed", "kept")
-
