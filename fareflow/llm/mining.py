@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from fareflow.llm.common import parts_for, written
 
 #: Rows of a leaf, children of a node, rows of a tree, anchors of a block.
-LEAF, FAN, TREE_ROWS, BLOCK_ANCHORS = 32, 8, 16_384, 1_024
+LEAF, FAN, TREE_ROWS, BLOCK_ANCHORS = 256, 8, 16_384, 1_024
 #: Bits of a row's number that count the rows of its task.
 ROW_BITS = 40
 

@@ -188,10 +188,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op11_hard_negatives"] = """
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-    list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS p
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS p
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
   SELECT a.vec_id AS anchor_id, a.label AS own, o.vec_id, o.label, CAST(list_inner_product(a.p, o.p) AS BIGINT) AS score
   FROM v a JOIN v o ON o.vec_id <> a.vec_id AND len(o.p) = len(a.p) WHERE a.vec_id % 100 = 0),

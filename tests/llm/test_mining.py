@@ -76,7 +76,7 @@ def test_trees_prune_and_find_the_same(monkeypatch):
     rng = np.random.default_rng(5)
     points = np.floor(256 * (rng.standard_normal((4000, 4)) * 0.1 + rng.integers(-2, 3, (4000, 4))))
     ids = rng.permutation(4000)
-    tree = mining.PackedTree(points, ids, np.arange(4000))
+    tree = mining.PackedTree(points, ids, np.arange(4000), leaf=32)
     for (lo, hi), below in zip(tree.levels[1:], tree.levels, strict=False):
         for i in range(len(lo)):
             own = slice(i * tree.fan, (i + 1) * tree.fan)
