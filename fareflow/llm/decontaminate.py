@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import parts_for, text_key, written
+from fareflow.llm.common import free_name, parts_for, text_key, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What stands between words: all ASCII characters but digits and lower-case letters.
@@ -190,5 +190,6 @@ def decontaminate(
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` whose id belongs to no contaminated row."""
-    bad = decontaminate(docs, benchmark, id_col=id_col).where("contaminated").select(F.col(id_col).alias("_bad")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_bad")), "left_anti")
+    (name,) = free_name(docs, ["_bad"])
+    bad = decontaminate(docs, benchmark, id_col=id_col).where("contaminated").select(F.col(id_col).alias(name)).distinct()
+    return docs.join(bad, F.col(id_col).eqNullSafe(F.col(name)), "left_anti")

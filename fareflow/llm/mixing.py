@@ -24,6 +24,8 @@ from fareflow.llm.common import free_name, parts_for
 MOST_SLOTS = 1_000
 MOST_SOURCES = 100
 REST = "(rest)"
+#: Columns that ``mix`` adds.
+NEW = ("grp", "block", "row_in_block", "release", "deadline", "slot")
 #: Leading hex digits of the draw that name a cell, and so the largest number of cells of a source.
 CELL_DIGITS = 4
 CELLS = 16**CELL_DIGITS
@@ -127,8 +129,7 @@ def mix(
     if not all(w > 0 for w in [*weights.values(), rest_weight]) or total > MOST_SLOTS or len(weights) > MOST_SOURCES:
         raise ValueError(f"weights must be positive and sum to {MOST_SLOTS} at most, for {MOST_SOURCES} sources at most")
     spark = docs.sparkSession
-    new = ["grp", "block", "row_in_block", "release", "deadline", "slot"]
-    docs = docs.drop(*[c for c in docs.columns if c.lower() in new and c not in (id_col, source_col, text_col)])
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in NEW and c not in (id_col, source_col, text_col)])
     cells = min(CELLS, parts_for(docs.count(), cell_rows))
     draw, tie, cell, before, at, round_, i, plan_grp, plan_i, plan = free_name(
         docs, ["_draw", "_tie", "_cell", "_before", "_at", "_round", "_i", "_plan_grp", "_plan_i", "_plan"]
@@ -168,11 +169,17 @@ def mix(
     slot = F.col(f"{plan}.base") + since * F.col(f"{plan}.per_round") + F.col(f"{plan}.slot")
     return slotted.withColumns(
         {"release": F.col(f"{plan}.release"), "deadline": F.col(f"{plan}.deadline"), "slot": slot}
-    ).select(*docs.columns, *new)
+    ).select(*docs.columns, *NEW)
 
 
 def in_mixed_order(docs: DataFrame, weights: Mapping[str, int], **options: object) -> DataFrame:
-    """The rows of ``docs`` range-partitioned and sorted by slot, so that written files follow the mixture."""
-    mixed = mix(docs, weights, **options)
+    """The rows of ``docs`` range-partitioned and sorted by slot, so that written files follow the mixture.
+
+    Columns named like one of ``mix``'s stay what they are.
+    """
+    own = {options.get(c, d) for c, d in (("id_col", "doc_id"), ("source_col", "source"), ("text_col", "text"))}
+    clashing = [c for c in docs.columns if c.lower() in NEW and c not in own]
+    away = dict(zip(clashing, free_name(docs, [f"_{c}" for c in clashing]), strict=True))
+    mixed = mix(docs.withColumnsRenamed(away), weights, **options)
     ordered = mixed.repartitionByRange("slot", "row_in_block").sortWithinPartitions("slot", "row_in_block")
-    return ordered.select(*[c for c in docs.columns if c in mixed.columns])
+    return ordered.select(*[F.col(away.get(c, c)).alias(c) for c in docs.columns])

@@ -49,8 +49,12 @@ def token_files_in_order(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows that come from no file are taken by doc_id.
     """
     try:
-        docs = docs.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-        order = ["_file", "_row"]
+        part, file, row = free_name(docs, ["_part", "_file", "_row"])
+        # By the file's number: names are not in its order once numbers have more digits.
+        name = F.col("_metadata.file_name")
+        number = F.regexp_extract(name, r"part-(\d+)", 1).try_cast("long")
+        docs = docs.select("*", number.alias(part), name.alias(file), F.col("_metadata.row_index").alias(row))
+        order = [part, file, row]
     except AnalysisException:
         order = ["doc_id"]
     folder, vocabulary = work_dir(spark, "corpus-tokens"), public_tokenizers.path("byte_bpe_50k.json")

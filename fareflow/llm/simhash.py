@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import written
+from fareflow.llm.common import free_name, written
 from fareflow.llm.graph import components, forest, star_links
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -213,8 +213,7 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     A group whose ids are all null keeps its null rows, one for each text.
     """
     groups = near_duplicate_groups(docs, id_col, text_col)
-    keep = groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_kept")).distinct()
-    same = F.col(id_col).eqNullSafe(F.col("_kept"))
-    kept = docs.join(keep, same, "left_semi")
-    key = "_text_key"
+    key, name = free_name(docs, ["_text_key", "_kept"])
+    keep = groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias(name)).distinct()
+    kept = docs.join(keep, F.col(id_col).eqNullSafe(F.col(name)), "left_semi")
     return kept.withColumn(key, F.xxhash64(text_col)).dropDuplicates([id_col, key]).drop(key)

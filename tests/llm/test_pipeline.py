@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import public_tokenizers
 import zlib
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -63,3 +64,21 @@ def test_empty_documents(spark, folder):
     none = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, none, folder).count() == 0
+
+
+def test_columns_named_like_the_stages_own_stay(spark, folder):
+    """Extra columns keep their names and values through every stage, whatever the stages call theirs."""
+    inputs(spark, folder)
+    names = ["_kept", "_text_key", "_bad", "grp", "Block", "slot", "_file", "_row", "_part", "judged", "row_in_block"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").dropDuplicates(["doc_id"])
+    docs = docs.withColumns({n: F.concat(F.lit(f"{n}:"), F.col("doc_id").cast("string")) for n in names})
+    docs.write.parquet(f"{folder}/wide")
+    docs = spark.read.parquet(f"{folder}/wide")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns
+        out.write.parquet(f"{folder}/wide-{name}")
+        docs = spark.read.parquet(f"{folder}/wide-{name}")
+        found = docs.collect()
+        assert found and all(r[n] == f"{n}:{r.doc_id}" for r in found for n in names)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).count() == len(found)
