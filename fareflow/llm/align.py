@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 
 from fareflow.llm.common import written
 from fareflow.llm.pieces import PieceIds, piece_rows, ragged, runs, sums
-from fareflow.llm.token_counts import byte_symbols
 from fareflow.llm.token_files import Encoder
 
-#: Bytes of texts worked on at a time (or one longer text).
-BYTES_AT_ONCE = 8_000_000
+#: Bytes of remembered pieces, and of texts worked on at a time (or one longer text).
+REMEMBERED = 192 << 20
+BYTES_AT_ONCE = 2_000_000
 #: Groups with more links than this are counted by distinct ids instead of link by link.
 MANY_LINKS = 256
 #: Most pairs of ids whose counts are broadcast; beyond it they are joined by a shuffle.
@@ -50,27 +50,23 @@ class TwoTokenizers:
         if any("▁" in name.lstrip("▁") for name in names):
             raise ValueError("the model joins what stands before a space with what follows it")
         self.space = names.index("▁")
-        byte_of = {c: b for b, c in enumerate(byte_symbols())}
         vocabulary = self.a.library.get_vocab(with_added_tokens=False)
-        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
-        for name, i in vocabulary.items():
-            self.a_bytes[i] = bytes(byte_of.get(c, 0) for c in name)
+        self.a_sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.a_sizes[list(vocabulary.values())] = [len(name) for name in vocabulary]
         self.b_bytes = [
             bytes([int(name[3:-1], 16)]) if self.b.is_byte(i) else name.replace("▁", " ").encode()
             for i, name in enumerate(names)
         ]
-        self.a_sizes, self.b_sizes = (np.array([len(x) for x in own], np.int64) for own in (self.a_bytes, self.b_bytes))
-        self.pieces = PieceIds(self.learn, [np.dtype(np.int32), np.dtype(np.int32), np.dtype(np.int8)])
+        self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
+        self.pieces = PieceIds(self.learn, [np.dtype(np.int32), np.dtype(np.int32), np.dtype(np.int8)], REMEMBERED)
 
     def learn(self, pieces: Sequence[str]) -> Iterator[tuple[list[int], list[int], list[int]]]:
-        """Ids by A and by B, and whether both spell the piece."""
+        """Ids by A and by B, and whether B spells the piece; A, whose symbols are bytes, always does."""
         by_a = self.a.encode_pieces(pieces)
         by_b = self.b.encode([p[1:] for p in pieces], num_threads=1)
         for piece, (a,), b in zip(pieces, by_a, by_b, strict=True):
             own = [self.space] if piece == " " else b
-            raw = piece.encode()
-            spelt = b"".join([self.a_bytes[i] for i in a]) == raw == b"".join([self.b_bytes[i] for i in own])
-            yield a, own, [spelt]
+            yield a, own, [b"".join(map(self.b_bytes.__getitem__, own)) == piece.encode()]
 
     def ids(self, texts: pa.StringArray) -> tuple[np.ndarray, ...]:
         """Of texts with their space: A ids, how many in each text, B ids, how many; texts not spelt have none."""
