@@ -39,6 +39,7 @@ from fareflow.sources.derived import (
     to_ride_events,
     to_wire,
 )
+from fareflow.sources.buckets import BucketedTable
 from fareflow.sources.lake import Lake
 from fareflow.sources.versions import KeyedTable, VersionedTable
 from fareflow.streaming import jobs
@@ -155,8 +156,8 @@ def stream_unpaid_rides(t: DriverTables) -> DataFrame:
 def stream_dedup(t: DriverTables) -> DataFrame:
     """One row per event id, over batches that each span the whole time: no id is lost behind a watermark."""
     folder = work_dir(t.spark, "dedup")
-    events = to_ride_events(_stream(t, by="event_id")).select("event_id", "event_ts", F.to_date("event_ts").alias("day"))
-    table = KeyedTable(t.spark, f"{folder}/table", events.schema, ["day"], ["event_id"])
+    events = to_ride_events(_stream(t, by="event_id")).select("event_id", "event_ts")
+    table = BucketedTable(t.spark, f"{folder}/table", events.schema, ["event_id"], buckets=16)
     write = jobs.insert_batch(table, [F.col("event_ts")], f"{folder}/checkpoint")
     jobs.start(events, f"{folder}/checkpoint", foreach_batch=write).awaitTermination()
     return table.read().select("event_id")
@@ -457,6 +458,21 @@ def keyed_table_insert(t: DriverTables) -> DataFrame:
     return table.read().drop("o_orderdate")
 
 
+@query(
+    "bucketed_table_insert",
+    """SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey % 2, o_orderkey) AS rn
+  FROM orders) WHERE rn = 1""",
+)
+def bucketed_table_insert(t: DriverTables) -> DataFrame:
+    """First order per customer, in buckets of the customer; a batch that comes again adds nothing."""
+    rows = t.table("orders").select("o_custkey", "o_orderkey")
+    table = BucketedTable(t.spark, work_dir(t.spark, "buckets"), rows.schema, ["o_custkey"], buckets=16)
+    for name in ("even", "odd", "odd"):
+        half = rows.where(F.col("o_orderkey") % 2 == int(name == "odd"))
+        table.insert(half, name, [F.col("o_orderkey")])
+    return table.read()
+
+
 @query(
     "keyed_table_merge",
     """SELECT o_custkey, o_orderkey, month FROM (SELECT *, strftime(o_orderdate, '%Y-%m') AS month, row_number() OVER (PARTITION BY o_custkey

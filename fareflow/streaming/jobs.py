@@ -12,6 +12,7 @@ from fareflow.operators import joins, poison, shifts, windows
 from fareflow.operators.sessions import with_session_ts
 from fareflow.schemas import WATERMARK_DELAY_SEC
 from fareflow.session import ROCKSDB
+from fareflow.sources.buckets import BucketedTable
 from fareflow.sources.lake import Lake
 from fareflow.sources.versions import KeyedTable
 from fareflow.streaming.commits import BatchTables, stream_id
@@ -111,7 +112,7 @@ def archive_batch(lake: Lake, checkpoint: str) -> Callable[[DataFrame, int], Non
 
 
 def insert_batch(
-    table: KeyedTable, order: Sequence[Column], checkpoint: str
+    table: KeyedTable | BucketedTable, order: Sequence[Column], checkpoint: str
 ) -> Callable[[DataFrame, int], None]:
     """A batch function that adds the rows whose key the table does not hold yet, however late they come."""
 

@@ -7,6 +7,7 @@ from fareflow.operators import joins, late, offsets, ops, quality, scd2, upsert
 from fareflow.plans import dashboards, marts
 from fareflow.schemas import DQ_RESULT
 from fareflow.sources import seeds
+from fareflow.sources.buckets import BucketedTable
 from tests.rides import T0, collect, event, events_df, full_ride
 
 
@@ -282,3 +283,47 @@ def test_seed_columns_have_fixed_types_and_misfits_fail(spark, folder):
     for name, lines in {"value": (header, "one,North,1,2,3"), "header": (header.replace("name", "title"), "1,North,1,2,3")}.items():
         with pytest.raises(Exception):
             seed(name, *lines).collect()
+
+
+def test_a_batch_meets_its_buckets_without_an_exchange_of_the_table(spark, folder):
+    """The batch is shuffled to the buckets; the table is read where it lies, however many batches it has."""
+    schema = "id long, v string"
+    table = BucketedTable(spark, f"{folder}/t", spark.createDataFrame([], schema).schema, ["id"], buckets=8)
+    order = [F.col("v")]
+    assert table.insert(spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], schema), "one", order) == 2
+    assert table.insert(spark.createDataFrame([(2, "z"), (3, "d")], schema), "two", order) == 1
+    assert table.insert(spark.createDataFrame([(9, "x")], schema), "two", order) is None
+    assert sorted(map(tuple, table.read().collect())) == [(1, "a"), (2, "c"), (3, "d")]
+    assert table.insert(spark.range(20_000).select("id", F.lit("many").alias("v")), "three", order) == 19_997
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 4096)
+    try:
+        rows = spark.range(5000).select("id", F.concat(F.lit("v"), F.col("id")).alias("v"))
+        text = table.missing(rows, order)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+    lines = text.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "Bucketed: true" in line)
+    # Going up from the table's scan, each operator above it is one step to the left; none up to the join is an exchange.
+    above, left = [], lines[scan].index("FileScan")
+    for line in reversed(lines[:scan]):
+        own = len(line) - len(line.lstrip(" :+-"))
+        if own < left:
+            left = own
+            above.append(line.strip(" :+-"))
+    upto = next(i for i, line in enumerate(above) if "LeftAnti" in line)
+    assert not [line for line in above[:upto] if line.startswith("Exchange")], text
+
+
+def test_bucketed_rows_of_an_unfinished_batch_are_not_read(spark, folder):
+    schema = "id long, v string"
+    table = BucketedTable(spark, f"{folder}/t", spark.createDataFrame([], schema).schema, ["id"], buckets=4)
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], schema)
+    rows.createOrReplaceTempView("lost_rows")
+    spark.sql(f"INSERT INTO {table.name} PARTITION (batch = 'lost') SELECT id, v FROM lost_rows")
+    assert table.read().count() == 0
+    assert table.insert(rows.limit(0), "lost", [F.col("v")]) == 0 and table.read().count() == 0
+    assert table.insert(rows, "next", [F.col("v")]) == 2
+    spark.sql(f"DROP TABLE {table.name}")
+    again = BucketedTable(spark, f"{folder}/t", rows.schema, ["id"], buckets=4)
+    assert sorted(map(tuple, again.read().collect())) == [(1, "a"), (2, "b")], "a new session finds the rows"
