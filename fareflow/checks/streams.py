@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from functools import reduce
 
 from pyspark.errors import StreamingQueryException
@@ -28,7 +29,7 @@ from fareflow.checks.sessions import SESSION_COLUMNS, rounded
 from fareflow.checks.sources import EVENT_COLUMNS
 from fareflow.operators import poison, upsert
 from fareflow.plans import marts
-from fareflow.plans.build import MartStore
+from fareflow.plans.build import Marts, MartStore
 from fareflow.session import work_dir
 from fareflow.sources.derived import (
     CTES,
@@ -45,6 +46,7 @@ from fareflow.sources.versions import KeyedTable, VersionedTable
 from fareflow.streaming import jobs
 from fareflow.streaming.commits import BatchTables
 from fareflow.streaming.feed import RideFeed
+from fareflow.streaming.progress import ProgressLog, row_counters
 from fareflow.streaming.sessionizer import sessionize
 from fareflow.streaming.sources import file_stream
 
@@ -133,6 +135,45 @@ def stream_stateful_sessions(t: DriverTables) -> DataFrame:
     return rounded(rows, "haversine_distance_km", "avg_speed_kmh")
 
 
+@query(
+    "stream_state_audit",
+    """SELECT (SELECT count(DISTINCT ride_id) FROM ride_events) AS n_rides, count(*) AS n_closed, count(*) AS n_sessions,
+  (SELECT count(DISTINCT ride_id) FROM ride_events) - count(*) AS n_open FROM sessions""",
+    ("ride_events", "sessions"),
+)
+def stream_state_audit(t: DriverTables) -> DataFrame:
+    """The sessionizer's state store, read back: a mark for every closed ride, the open ones beside, and a session for each mark."""
+    folder = work_dir(t.spark, "state")
+    sessions = jobs.run_to_table(sessionize(to_ride_events(_stream(t, files=1))), folder)
+    state = t.spark.read.format("statestore").option("stateVarName", "ride").load(f"{folder}/checkpoint")
+    marks = state.agg(
+        F.count(F.lit(1)).alias("n_rides"),
+        F.count("value.closed_at").alias("n_closed"),
+        F.count_if(F.col("value.closed_at").isNull()).alias("n_open"),
+    )
+    return marks.withColumn("n_sessions", sessions.agg(F.count(F.lit(1)).alias("n")).scalar())
+
+
+@query(
+    "stream_progress",
+    f"""SELECT b AS number, count(*) AS n_rows, CAST(sum(count(*)) OVER (ORDER BY b) AS BIGINT) AS total FROM (SELECT
+  CAST(floor(({ARRIVAL}) * {FILES} / (SELECT max({ARRIVAL}) + 1 FROM events)) AS BIGINT) AS b FROM events) GROUP BY b""",
+)
+def stream_progress(t: DriverTables) -> DataFrame:
+    """Rows that a running query reports for each micro-batch, and so far."""
+    log = ProgressLog()
+    t.spark.streams.addListener(log)
+    try:
+        _run(t, to_ride_events(_stream(t, by=ARRIVAL)).select("event_id"), "progress")
+        until = time.monotonic() + 30
+        while len(log.waiting) < FILES and time.monotonic() < until:  # events reach a listener after the query's end
+            time.sleep(0.1)
+    finally:
+        t.spark.streams.removeListener(log)
+    counted = row_counters(log.drained(t.spark))
+    return counted.where("n_rows > 0").select("number", "n_rows", "total")
+
+
 @query("stream_ride_payments", PAID_SQL, ("sessions", "payments"), TIMES)
 def stream_ride_payments(t: DriverTables) -> DataFrame:
     stream = jobs.ride_payments_stream(_copied_sessions(t), to_payments(_stream(t)))
@@ -496,9 +537,8 @@ def keyed_table_merge(t: DriverTables) -> DataFrame:
 # --- a whole run of the marts --------------------------------------------------------------------
 
 
-@query("mart_build", "SELECT * FROM hourly", FACT_USES, FACT)
-def mart_build(t: DriverTables) -> DataFrame:
-    """Two runs, the second with newer rides: the rollup equals one made from everything at once."""
+def _marts(t: DriverTables) -> Marts:
+    """Two runs, the second with newer rides."""
     at = F.lit(INGESTED).cast("timestamp")
     folder = work_dir(t.spark, "marts")
     marts.with_ingest_time(t.sessions, at).write.parquet(f"{folder}/landed")
@@ -506,5 +546,46 @@ def mart_build(t: DriverTables) -> DataFrame:
     store = MartStore(t.spark, folder)
     early = sessions.where(F.col("requested_ts") < F.lit("2024-01-20").cast("timestamp"))
     store.run("1", at, early, t.payments, t.pings, t.cities, PING_ORDER)
-    built = store.run("2", at, sessions, t.payments, t.pings, t.cities, PING_ORDER)
-    return rounded(built.agg_city_hourly, "p50_time_to_match_sec", "p95_time_to_match_sec")
+    return store.run("2", at, sessions, t.payments, t.pings, t.cities, PING_ORDER)
+
+
+@query("mart_build", "SELECT * FROM hourly", FACT_USES, FACT)
+def mart_build(t: DriverTables) -> DataFrame:
+    """The rollup after two runs equals one made from everything at once."""
+    return rounded(_marts(t).agg_city_hourly, "p50_time_to_match_sec", "p95_time_to_match_sec")
+
+
+#: Rows and one total of each mart after the two runs. A driver whose tier the newer rides changed has two versions; each run
+#: writes seven quality results, of which uniqueness fails where a ride was paid twice.
+MARTS = {
+    "tiers": """SELECT driver_id, CASE WHEN n >= 30 THEN 'gold' WHEN n >= 10 THEN 'silver' ELSE 'bronze' END AS tier,
+    CASE WHEN early >= 30 THEN 'gold' WHEN early >= 10 THEN 'silver' ELSE 'bronze' END AS tier_before
+  FROM (SELECT p.driver_id, count(s.ride_id) AS n, count(s.ride_id) FILTER (s.requested_ts < TIMESTAMP '2024-01-20') AS early
+    FROM (SELECT DISTINCT driver_id FROM pings) p LEFT JOIN sessions s ON s.driver_id = p.driver_id AND s.terminal_state = 'completed' GROUP BY 1)""",
+    "twice": "SELECT ride_id, min(requested_at) AS requested_at FROM enriched GROUP BY ride_id HAVING count(*) > 1",
+}
+MART_SQL = """SELECT 'fct_rides' AS mart, count(*) AS n_rows, CAST(sum(fare_cents) AS BIGINT) AS total FROM enriched
+UNION ALL SELECT 'agg_city_hourly', count(*), CAST(sum(rides_closed) AS BIGINT) FROM hourly
+UNION ALL SELECT 'fct_driver_shifts', count(*), CAST(sum(ping_count) AS BIGINT) FROM shifts
+UNION ALL SELECT 'dim_cities', count(*), CAST(sum(city_id) AS BIGINT) FROM cities
+UNION ALL SELECT 'dim_drivers', count(*) + count(*) FILTER (tier <> tier_before), count(*) FROM tiers
+UNION ALL SELECT 'dq_results', 14, 14 - CAST(count(*) > 0 AS BIGINT) - CAST(count(*) FILTER (requested_at < TIMESTAMP '2024-01-20') > 0 AS BIGINT) FROM twice"""
+
+
+@query("mart_tables", MART_SQL, (*FACT_USES, "pings"), {**FACT, **SHIFTS, **MARTS})
+def mart_tables(t: DriverTables) -> DataFrame:
+    """Rows and a total of all six marts after two runs."""
+    built = _marts(t)
+    totals = {
+        "fct_rides": F.sum("fare_cents"),
+        "agg_city_hourly": F.sum("rides_closed"),
+        "fct_driver_shifts": F.sum("ping_count"),
+        "dim_cities": F.sum("city_id"),
+        "dim_drivers": F.count_if("is_current"),
+        "dq_results": F.count_if("success"),
+    }
+    parts = [
+        getattr(built, name).agg(F.lit(name).alias("mart"), F.count(F.lit(1)).alias("n_rows"), total.cast("long").alias("total"))
+        for name, total in totals.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)

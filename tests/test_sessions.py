@@ -94,8 +94,8 @@ def test_defaults(spark):
 
 def test_promo_from_any_event_and_clamped_times(spark):
     events = full_ride()
-    events[3] = {**events[3], "payload_version": 2, "promo_code": "SAVE10"}
-    assert one(spark, events)["promo_code"] == "SAVE10"
+    events[3] = {**events[3], "payload_version": 2, "promo_code": "RAIN7"}
+    assert one(spark, events)["promo_code"] == "RAIN7"
     back = [event("requested", T0 + 50), event("matched", T0), event("cancelled", T0 + 60)]
     assert one(spark, back)["time_to_match_sec"] == 0.0
 

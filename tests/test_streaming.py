@@ -12,6 +12,7 @@ from fareflow.sources.versions import KeyedTable
 from fareflow.streaming import jobs
 from fareflow.streaming.commits import BatchTables, stream_id
 from fareflow.streaming.feed import RideFeed
+from fareflow.streaming.progress import ProgressLog, row_counters
 from fareflow.streaming.sessionizer import sessionize
 from fareflow.streaming.sources import file_stream, kafka_options
 from tests.rides import END, MATCH, START, T0, collect, event, events_df, full_ride
@@ -312,3 +313,12 @@ def test_kafka_options_start_early_and_read_committed():
     options = kafka_options("broker:9092", "rides.events", max_offsets=500)
     assert options["startingOffsets"] == "earliest" and options["kafka.isolation.level"] == "read_committed"
     assert options["maxOffsetsPerTrigger"] == "500"
+
+
+def test_progress_counts_a_repeated_batch_once(spark):
+    log = ProgressLog(most=3)
+    log.waiting.extend([("q", "r", 0, "2026-01-01T00:00:00.000Z", 9, 1)] * 2)
+    log.waiting.extend([("q", "r", 0, "2026-01-01T00:00:01.000Z", 5, 1), ("q", "r", 1, "2026-01-01T00:00:09.000Z", 7, 2)])
+    rows = row_counters(log.drained(spark)).select("number", "n_rows", "total").collect()
+    assert sorted(map(tuple, rows)) == [(0, 5, 5), (1, 7, 12)]
+    assert log.drained(spark).count() == 0, "drained rows wait no more, and old ones make room"
