@@ -5,8 +5,8 @@ payment cards, social security and telephone numbers, and names of persons (afte
 with a known first name). Each kind has a canonical value, so that mentions written differently are one entity.
 
 Surrogates: a keyed hash of kind and value draws the replacement, character by character within the same
-class: digits for digits, letters for letters of the same script, vowels for vowels. Cards keep their issuer digit and a
-right check digit, addresses of one domain keep one domain, first names keep gender and script; case,
+class: digits for digits, letters for letters of the same script, vowels for vowels; no letter or digit stays because its
+class is unknown. Cards keep their issuer's digits and a right check digit, numbers written with + their country code, addresses of one domain keep one domain, first names keep gender and script; case,
 separators and country codes are those of each mention. Without the key, surrogates lead back to nobody.
 
 Distinctness: a surrogate claimed by two entities goes to the smaller value, and none may be a value that occurs
@@ -36,7 +36,7 @@ FEMALE_CYRILLIC = ("Анна", "Мария", "Ольга", "Елена", "Ири
 MALE_CYRILLIC = ("Иван", "Пётр", "Сергей", "Алексей", "Дмитрий", "Николай")
 FEMALE_NAMES, MALE_NAMES = FEMALE_LATIN + FEMALE_CYRILLIC, MALE_LATIN + MALE_CYRILLIC
 
-#: Characters are replaced within these classes; other letters and signs stay.
+#: Characters are replaced within these classes, other letters within their span of code points; signs stay.
 CLASSES = (
     "0123456789",
     "aeiouàáâäèéêëìíîïòóôöùúûü",
@@ -48,6 +48,14 @@ CLASSES = (
 )
 #: How many characters of each class replacements are drawn from; accented ones give way to plain ones.
 DRAWN = (10, 5, 20, 10, 21, 7, 17)
+#: Spans of code points of scripts without case, or of their small letters: Han, Hangul, Hiragana, Katakana, Armenian, Georgian,
+#: Hebrew, Arabic, Devanagari, Thai. Letters in neither class nor span (as ł or ґ) become a consonant of Latin or Cyrillic.
+SPANS = (
+    (0x4E00, 0x9FA5), (0xAC00, 0xD7A3), (0x3041, 0x3096), (0x30A1, 0x30FA), (0x0561, 0x0586), (0x10D0, 0x10F0),
+    (0x05D0, 0x05EA), (0x0621, 0x063A), (0x0641, 0x064A), (0x0905, 0x0939), (0x0E01, 0x0E2E),
+)
+#: Country codes of telephone numbers that have one or two digits; the others have three.
+SHORT_CODES = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
 #: Draws before replacements grow longer, and digits added each time.
 DRAWS_IN_FORMAT = 16
 
@@ -135,7 +143,7 @@ def mention_parts(shown: Column, before: Column) -> Column:
         .when(is_[SECRET], F.array(part(F.lit(SECRET), F.when(hexadecimal, F.lower(shown)).otherwise(shown), shown)))
         .when(is_[IP], F.array(part(F.lit(IP), shown, shown)))
         .when(is_[SSN], F.array(part(F.lit(SSN), digits, shown)))
-        .when(is_[PHONE], F.array(part(F.lit(PHONE), F.when(long, F.substring(digits, 2, 10)).otherwise(digits), shown)))
+        .when(is_[PHONE], F.array(part(F.lit(PHONE), F.when(long, F.substring(digits, 2, 10)).when(shown.startswith("+"), F.concat(F.lit("+"), digits)).otherwise(digits), shown)))
         .otherwise(name_parts(shown, before))
     )
 
@@ -190,7 +198,13 @@ def redrawn(chars: Column, drawn: Draw) -> Column:
 
     def one(c: Column, i: Column) -> Column:
         def pick(low: Column, n: Column) -> Column:
-            choice = F.lit(None).cast("string")
+            code = F.ascii(low)
+            latin, cyrillic = (F.substring(F.lit(CLASSES[k]), n % DRAWN[k] + 1, F.lit(1)) for k in (2, 4))
+            spans = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b - a).alias("wide")) for a, b in SPANS])
+            own = F.get(F.filter(spans, lambda s: code.between(s["a"], s["a"] + s["wide"])), F.lit(0))
+            moved = lambda s: s["a"] + (code - s["a"] + 1 + n % s["wide"]) % (s["wide"] + 1)
+            letter = bound(own, lambda s: F.decode(F.unhex(F.lpad(F.hex(moved(s)), 4, "0")), "UTF-16BE"))
+            choice = F.coalesce(letter, F.when(low.rlike(r"\p{IsCyrillic}"), cyrillic).when(low.rlike(r"[\p{L}\p{N}]"), latin))
             for letters, size in reversed(list(zip(CLASSES, DRAWN, strict=True))):
                 found = F.substring(F.lit(letters), n % size + 1, F.lit(1))
                 choice = F.when(F.instr(F.lit(letters), low) > 0, found).otherwise(choice)
@@ -216,16 +230,24 @@ def extension(more: Column, drawn: Draw, of: str) -> Column:
 
 
 def card_number(value: Column, more: Column, drawn: Draw) -> Column:
-    """Another card number: the first digit stays, and the last one is set so that the check rule holds."""
+    """Another card number: the issuer's two digits stay, and the last one is set so that the check rule holds."""
 
     def checked(body: Column) -> Column:
         check = (10 - luhn(F.concat(body, F.lit("0"))) % 10) % 10
         return F.concat(body, check.cast("string"))
 
-    rest = F.concat(F.substring(value, 1, 1), redrawn(F.substring(value, 2, 99), drawn), extension(more, drawn, CLASSES[0]))
+    rest = F.concat(F.substring(value, 1, 2), redrawn(F.substring(value, 3, 99), drawn), extension(more, drawn, CLASSES[0]))
     return bound(bound(rest, lambda r: F.substring(r, F.lit(1), F.length(r) - 1)), checked)
 
 
+def telephone_number(value: Column, drawn: Draw) -> Column:
+    """Another number of the same country; ``value`` begins with + and the country's code."""
+    digits = F.substring(value, 2, 99)
+    code = F.when(digits.rlike(SHORT_CODES), F.regexp_extract(digits, SHORT_CODES, 0)).otherwise(F.substring(digits, 1, 3))
+    rest = bound(F.substr(digits, F.length(code) + 1), lambda r: redrawn(r, drawn))
+    return F.concat(F.lit("+"), code, rest)
+
+
 def email_address(value: Column, more: Column, drawn: Draw, key: str) -> Column:
     """Another address. Its domain follows from the old domain alone, in a name space that nobody owns."""
     local, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
@@ -271,6 +293,7 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
             .when(kind == CARD, card_number(value, more, drawn))
             .when(kind == IP, ip_address(more, drawn))
             .when(kind == SECRET, F.concat(secret, extension(more, drawn, CLASSES[0])))
+            .when((kind == PHONE) & value.startswith("+"), F.concat(telephone_number(value, drawn), extension(more, drawn, CLASSES[0])))
             .when(kind.isin(SSN, PHONE), F.concat(redrawn(value, drawn), extension(more, drawn, CLASSES[0])))
             .otherwise(F.concat(name, extension(more, drawn, "aeiou")))
         )
@@ -288,14 +311,14 @@ def rendered(kind: Column, made: Column, shown: Column) -> Column:
 
     def shaped(found: Column) -> Column:
         old = digits_of(shown)
-        kept = F.substring(old, F.lit(1), F.greatest(F.lit(0), F.length(old) - F.length(found)))
+        kept = F.substring(old, F.lit(1), F.greatest(F.lit(0), F.length(old) - F.length(digits_of(found))))
         cased = (
             F.when((shown == F.upper(shown)) & (shown != F.lower(shown)) & (F.length(shown) > 1), F.upper(found))
             .when(F.substring(shown, 1, 1) != F.lower(F.substring(shown, 1, 1)), F.initcap(found))
             .otherwise(found)
         )
         as_is = (kind == SECRET) & ~found.rlike("^[0-9a-f]+$")
-        return F.when(kind.isin(CARD, SSN, PHONE), spaced(F.concat(kept, found))).when(as_is, found).otherwise(cased)
+        return F.when(kind.isin(CARD, SSN, PHONE), spaced(F.concat(kept, digits_of(found)))).when(as_is, found).otherwise(cased)
 
     return bound(made, shaped)
 

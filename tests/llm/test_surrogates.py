@@ -105,3 +105,29 @@ def test_draws_beyond_the_format_grow(spark):
     value = F.lit("555123")
     row = spark.range(1).select(*[surrogates.surrogate(F.lit("phone"), value, F.lit(n), "k").alias(f"a{n}") for n in (0, 15, 16, 18)]).first()
     assert [len(x) for x in row] == [6, 6, 7, 9]
+
+
+def test_no_letter_of_any_script_stays(spark):
+    """Letters outside the listed classes are replaced too, within their script, and the first draw settles them."""
+    old = ["王小明@mail.com", "محمد@mail.com", "გიორგი@mail.com", "नमन@mail.com", "김민수@mail.com", "Dr Արամյան", "Prof Øåæ", "Dr Łukżęśćą", "Mr Ґалаґаєї", "٣٤٥@mail.com"]
+    texts, counts = rewritten(spark, *[f"say {m} now" for m in old])
+    assert all(sum(c.values()) == 1 for c in counts)
+    scripts = [r"[\u4e00-\u9fa5]{3}@", r"[\u0621-\u064a]{4}@", r"[\u10d0-\u10f0]{6}@", None, r"[\uac00-\ud7a3]{3}@", r"Dr [\u0531-\u0587]{7}",
+               r"Prof [A-Za-z]{3}", r"Dr [A-Za-z]{8}", r"Mr [А-Яа-яё]{8}", None]
+    for was, text, script in zip(old, texts, scripts, strict=True):
+        new = text.removeprefix("say ").removesuffix(" now")
+        own = was.split("@")[0] if "@" in was else was.split()[1]
+        assert not any(own[i : i + 2].lower() in new.lower() for i in range(len(own) - 1)), (was, new)
+        assert script is None or re.match(script, new), (was, new)
+    entities = spark.createDataFrame([(surrogates.SURNAME, w.split()[1].lower()) for w in old if " " in w], "kind string, value string")
+    assert surrogates.assign(entities, "k").count() == 0
+
+
+def test_country_codes_and_issuers_stay(spark):
+    numbers = ["+49 30 1234567", "+44 20 7946 0958", "+380 44 123 4567", "+7 495 123-45-67", "378282246310005", "5105 1051 0510 5100"]
+    texts, _ = rewritten(spark, *[f"call {n} now" for n in numbers], "again +49 (30) 123 4567 please")
+    new = [t.removeprefix("call ").removesuffix(" now") for t in texts[:-1]]
+    for was, got, code in zip(numbers, new, ["+49 ", "+44 ", "+380 ", "+7 ", "37", "51"], strict=True):
+        assert got.startswith(code) and got != was and re.sub("[0-9]", "9", got) == re.sub("[0-9]", "9", was)
+    assert all(luhn(re.sub(r"\D", "", n)) for n in new[4:])
+    assert re.sub(r"\D", "", texts[-1]) == re.sub(r"\D", "", new[0])
