@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from functools import reduce
 
@@ -52,6 +53,8 @@ from fareflow.streaming.sources import file_stream
 
 
 FILES = 4
+#: Rows of one file of a stream, about: a batch of more lies in several, which tasks read side by side.
+FILE_ROWS = 100_000
 
 
 #: Order of arrival of the driver's events, and the batch of an arrival when it is cut evenly.
@@ -62,20 +65,27 @@ def _stream(t: DriverTables, by: str = "ts", files: int = FILES) -> DataFrame:
     """The whole events table as a file stream of ``files`` micro-batches, in order of ``by`` or, evenly, of arrival.
 
     In order of time each batch follows the one before, so nothing is late; in order of ``event_id`` every batch
-    spans the whole time.
+    spans the whole time. A batch lies in as many files as its rows need, the same number for each batch.
     """
     events = t.spark.read.parquet(f"{t.sf_dir}/events.parquet")
     folder = work_dir(t.spark, "events")
+    width = max(1, math.ceil(events.count() / (files * FILE_ROWS)))
     if by == ARRIVAL:
         last = events.agg(F.max(F.expr(ARRIVAL))).scalar()
         parts = events.withColumn("part", F.floor(F.expr(ARRIVAL) * files / (last + 1)).cast("int"))
     else:
-        parts = events.repartitionByRange(files, by).withColumn("part", F.spark_partition_id())
+        ranges = events.repartitionByRange(files * width, by)
+        parts = ranges.withColumn("part", F.floor(F.spark_partition_id() / width).cast("int"))
     parts.write.partitionBy("part").parquet(f"{folder}/parts")
-    for n in range(files):  # one file after the other, since a file stream goes by their age
-        one = t.spark.read.schema(events.schema).parquet(f"{folder}/parts/part={n}")
-        one.coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    raw = file_stream(t.spark, f"{folder}/in", events.schema, max_files=1)
+    written = t.spark.read.schema(parts.schema).parquet(f"{folder}/parts")
+    for n in range(files):  # one batch's files after the other's, since a file stream goes by their age
+        one = written.where(F.col("part") == n).drop("part")
+        one.repartition(width).write.mode("append").parquet(f"{folder}/in")
+        # Fewer rows than files leave some out; empty ones keep the batches' borders.
+        there = len(t.spark.read.schema(events.schema).parquet(f"{folder}/in").inputFiles())
+        for _ in range((n + 1) * width - there):
+            one.limit(0).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    raw = file_stream(t.spark, f"{folder}/in", events.schema, max_files=width)
     return numbered_events(raw.withColumn("ts", F.col("ts").cast("timestamp")))
 
 
