@@ -155,11 +155,14 @@ def stream_state_audit(t: DriverTables) -> DataFrame:
     """The sessionizer's state store, read back: a mark for every closed ride, the open ones beside, and a session for each mark."""
     folder = work_dir(t.spark, "state")
     sessions = jobs.run_to_table(sessionize(to_ride_events(_stream(t, files=1))), folder)
-    state = t.spark.read.format("statestore").option("stateVarName", "ride").load(f"{folder}/checkpoint")
-    marks = state.agg(
+    kept = [
+        t.spark.read.format("statestore").option("stateVarName", name).load(f"{folder}/checkpoint").select(F.lit(name).alias("kind"))
+        for name in ("open", "closed")
+    ]
+    marks = reduce(DataFrame.unionByName, kept).agg(
         F.count(F.lit(1)).alias("n_rides"),
-        F.count("value.closed_at").alias("n_closed"),
-        F.count_if(F.col("value.closed_at").isNull()).alias("n_open"),
+        F.count_if(F.col("kind") == "closed").alias("n_closed"),
+        F.count_if(F.col("kind") == "open").alias("n_open"),
     )
     return marks.withColumn("n_sessions", sessions.agg(F.count(F.lit(1)).alias("n")).scalar())
 
