@@ -123,7 +123,7 @@ class RideFeed:
                     "sessions": closed_sessions(rides.where("closes")),
                     "open": rides.where("not closes").select(*OPEN_RIDE.names),
                 },
-                messages,
+                decoded,
                 newest,
             )
         finally:
