@@ -153,3 +153,52 @@ def number_islands(
         .withColumn(out, F.col("_base") + F.sum("is_new").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         .drop("_carried", "_base", *PLACE)
     )
+
+
+def islands_in_slices(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    slice_id: Column,
+    carry: Sequence[str],
+    starts_new: Column,
+) -> DataFrame:
+    """The first half of islands that are folded: every slice by itself, in one exchange of the rows.
+
+    Adds ``prev`` (as in ``number_islands``, null on a slice's first row), ``is_last`` (of its slice) and ``part``: how many
+    islands opened in the slice after its first row. Rows of one ``part`` of a slice are one island, but for its ends.
+    """
+    within = _in_slice(order)
+    opens = F.when(F.col("prev").isNotNull() & starts_new, 1).otherwise(0)
+    return (
+        _sliced(df, keys, slice_id)
+        .withColumns({"prev": F.lag(F.struct(*carry)).over(within), "is_last": F.lead(F.lit(1)).over(within).isNull()})
+        .withColumn("part", F.sum(opens).over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    )
+
+
+def chain_islands(parts: DataFrame, starts_new: Column) -> DataFrame:
+    """The second half: number the islands of folded parts along each key, 1, 2, …
+
+    ``parts`` has a row for each key, slice and ``part``, with structs ``first`` of a slice's first row (on part 0) and ``tail``
+    of its last (on its last part). Adds ``island`` and, on a part 0 that goes on with the island of the slice before, ``prev``: its tail.
+    Only one row a slice is ordered along its key.
+    """
+    opens = F.when(F.col("prev").isNull() | starts_new, 1).otherwise(0)
+    summaries = parts.groupBy(*PLACE).agg(
+        F.min_by("first", "part").alias("_first"), F.max_by("tail", "part").alias("_tail"), F.max("part").alias("_rest")
+    )
+    chained = summaries.withColumn("prev", F.lag("_tail").over(_slice_before()))
+    first = chained.select(*PLACE, "prev", "_rest", "_first.*").withColumn("_opens", opens)
+    opened = first.withColumn("_opened", F.col("_opens") + F.col("_rest"))
+    before = opened.select(
+        *PLACE,
+        F.when(F.col("_opens") == 0, F.col("prev")).alias("_carried"),
+        (F.col("_opens") + F.coalesce(F.sum("_opened").over(_slices_before()), F.lit(0))).alias("_base"),
+    )
+    return (
+        parts.join(before, PLACE, "left")
+        .withColumn("prev", F.when(F.col("part") == 0, F.col("_carried")))
+        .withColumn("island", F.col("_base") + F.col("part"))
+        .drop("_carried", "_base")
+    )

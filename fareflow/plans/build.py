@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from fareflow.functions.times import seconds
 from fareflow.operators import quality
 from fareflow.operators.scd2 import empty_history, scd2_merge
+from fareflow.operators.shifts import joined_shifts, shift_parts
 from fareflow.operators.upsert import replace_keys
 from fareflow.plans import marts
 from fareflow.schemas import DQ_RESULT, FACT_LOOKBACK_SEC
@@ -68,7 +69,9 @@ class MartStore:
         enriched = marts.enriched_rides(staged, marts.stage_payments(payments), dim_cities)
         rides = self._merge_rides(run, enriched)
         hourly = self._stored(marts.city_hourly(rides), "agg_city_hourly", run)
-        shifts = self._stored(marts.shift_fact(pings, ping_order), "fct_driver_shifts", run)
+        # Kept between its two halves, so that the pings are read and sorted once.
+        parts = self._stored(shift_parts(pings, ping_order), "int_shift_parts", run)
+        shifts = self._stored(joined_shifts(parts), "fct_driver_shifts", run)
         newest = ["pinged_at" if c == "ts" else c for c in ping_order]
         drivers = marts.current_drivers(marts.stage_locations(pings), staged, newest)
         history = self._snapshot_drivers(run, run_at, drivers)

@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,6 +112,14 @@ class VersionedTable:
         """The rows in any of the listed partitions; null matches null."""
         return null_safe_join(rows, partitions.select(*self.partition), self.partition, "left_semi")
 
+    def _listed(self, rows: DataFrame, places: Sequence[Row]) -> DataFrame:
+        """The rows with any of the given values in each partition column; null matches null. The values are literals, so a scan prunes."""
+        for c in self.partition:
+            known = {p[c] for p in places}
+            among = F.col(c).isin(*[F.lit(v).cast(self.schema[c].dataType) for v in known - {None}])
+            rows = rows.where(among | F.col(c).isNull() if None in known else among)
+        return rows
+
     def read(self, snapshot: int | None = None) -> DataFrame:
         """Rows of a snapshot (the newest by default) under that snapshot's schema."""
         _, schema = self.state(snapshot)
@@ -175,12 +183,18 @@ class VersionedTable:
     ) -> int | None:
         """Replace the touched partitions by ``change`` of their rows; the others stay as they are.
 
-        ``touched`` lists partition values. Rows that ``change`` moves must stay inside them.
+        ``touched`` lists partition values and may repeat them. Rows that ``change`` moves must stay inside them.
         """
         if self.is_committed(batch):
             return None
         _, schema = self.state()
-        old, gone = self._in(self.read(), touched), self._in(self.alive(), touched)
+        # One row a partition is gathered, so that the others' files are not read.
+        touched = touched.select(*self.partition).distinct()
+        places = touched.collect()
+        old, gone = self._listed(self.read(), places), self._listed(self.alive(), places)
+        if len(self.partition) > 1:  # values that do not come together
+            listed = self.spark.createDataFrame(places, touched.schema)
+            old, gone = self._in(old, listed), self._in(gone, listed)
         added = self._write(change(old).select(*schema.names), batch)
         return self._commit(gone.withColumn("op", F.lit("remove")).unionByName(added), schema)
 
@@ -272,6 +286,6 @@ class KeyedTable(VersionedTable):
         try:
             holds = self.holding(rows, within)
             touched = rows.select(*self.partition).unionByName(holds.select(*self.partition))
-            return self.rewrite(touched.distinct(), lambda old: combine(old, rows), batch)
+            return self.rewrite(touched, lambda old: combine(old, rows), batch)
         finally:
             rows.unpersist()
